@@ -1,0 +1,45 @@
+"""Looks at a table: nulls, distinct values, row counts, first rows, columns."""
+
+from __future__ import annotations
+
+from collections.abc import Iterable
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tabularium.operators.names import as_list, col, cols
+
+
+def null_audit(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
+    """Null count of each column (NaN counts too in float columns) as rows ``col, n_null``, in one scan."""
+    floats = {f.name for f in df.schema if isinstance(f.dataType, (T.FloatType, T.DoubleType))}
+    names = as_list(columns or df.columns)
+
+    def missing(name: str) -> Column:
+        test = col(name).isNull()
+        return test | F.isnan(col(name)) if name in floats else test
+
+    counts = df.agg(*[F.count_if(missing(name)).alias(f"n{i}") for i, name in enumerate(names)])
+    rows = [F.struct(F.lit(name).alias("col"), F.col(f"n{i}").alias("n_null")) for i, name in enumerate(names)]
+    return counts.select(F.inline(F.array(*rows)))
+
+
+def distinct_values(df: DataFrame, columns: str | Iterable[str]) -> DataFrame:
+    return df.select(*cols(as_list(columns))).distinct()
+
+
+def row_counts(df: DataFrame, by: str | Iterable[str] = ()) -> DataFrame:
+    """Number of rows, in all or per value of ``by``."""
+    return df.groupBy(*cols(as_list(by))).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def preview(df: DataFrame, n: int, order: Iterable[str | Column]) -> DataFrame:
+    """The first ``n`` rows in ``order`` (a top-n that each task cuts down before anything moves)."""
+    return df.orderBy(*[col(o) if isinstance(o, str) else o for o in order]).limit(n)
+
+
+def schema_profile(df: DataFrame) -> DataFrame:
+    """Position, name, type and nullability of each column."""
+    rows = [(i, f.name, f.dataType.simpleString(), f.nullable) for i, f in enumerate(df.schema)]
+    return df.sparkSession.createDataFrame(rows, "pos int, col string, type string, nullable boolean")
