@@ -120,8 +120,12 @@ _ACCENTED, _BASE = _accent_table()
 
 
 def fold_accents(col: Column) -> Column:
-    """Accented Latin letters to their base letters, in one pass; ``ß`` becomes ``ss``."""
-    return F.translate(F.replace(col, F.lit("ß"), F.lit("ss")), _ACCENTED, _BASE)
+    """Accented Latin letters to their base letters, in one pass; ``ß`` becomes ``ss``.
+
+    Plain ASCII text, which has as many bytes as letters, is passed through as it is.
+    """
+    folded = F.translate(F.replace(col, F.lit("ß"), F.lit("ss")), _ACCENTED, _BASE)
+    return F.when(F.octet_length(col) == F.char_length(col), col).otherwise(folded)
 
 
 def clean_text(col: Column, rules: Iterable[Repair] = ()) -> Column:
