@@ -21,7 +21,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabularium.operators.names import as_list, col, cols
+from tabularium.operators.clean import drop_missing
+from tabularium.operators.names import as_list, cols
 
 ROWS_PER_TASK = 1_000_000
 MAX_HOT_KEYS = 20_000
@@ -37,10 +38,6 @@ def _hit(i: int) -> str:
     return f"__hit{i}"
 
 
-def _with_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.where(reduce(lambda a, b: a & b, [k.isNotNull() for k in cols(keys)]))
-
-
 def hot_keys(
     frames: Sequence[DataFrame],
     key: str | Iterable[str],
@@ -55,7 +52,7 @@ def hot_keys(
     match nothing and are left out, but those of the first frame count with ``first_nulls``.
     """
     keys = as_list(key)
-    counted = [df if first_nulls and i == 0 else _with_key(df, keys) for i, df in enumerate(frames)]
+    counted = [df if first_nulls and i == 0 else drop_missing(df, keys) for i, df in enumerate(frames)]
     sides = [df.select(*cols(keys), F.lit(i).alias("__side")) for i, df in enumerate(counted)]
     totals = [F.count_if(F.col("__side") == i).alias(_split(i)) for i in range(len(frames))]
     counts = reduce(DataFrame.unionByName, sides).groupBy(*cols(keys)).agg(*totals)
@@ -147,7 +144,7 @@ def balanced_join(
     names = list(spread) if spread is not None else [None] * n
     # A literal table: every side of the join sees the same large keys, whatever is run again.
     hot = frames[0].sparkSession.createDataFrame(found, counted.schema)
-    frames = [df if outer and i == 0 else _with_key(df, keys) for i, df in enumerate(frames)]
+    frames = [df if outer and i == 0 else drop_missing(df, keys) for i, df in enumerate(frames)]
     placed = [_place(df, i, n, keys, hot, names[i], outer) for i, df in enumerate(frames)]
 
     joined = placed[0]

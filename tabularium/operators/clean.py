@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import DataFrame
 
-from tabularium.operators.names import as_list, col
+from tabularium.operators.names import as_list, col, cols
 
 # Text for a missing text field, code of the home country, status of an active row.
 MISSING_TEXT = "-"
@@ -25,8 +26,11 @@ def fill_code(df: DataFrame, columns: str | Iterable[str], value: int = HOME_COU
 
 
 def drop_missing(df: DataFrame, columns: str | Iterable[str]) -> DataFrame:
-    """Drop rows with a null in any of ``columns``."""
-    return df.na.drop(subset=as_list(columns))
+    """Drop rows with a null in any of ``columns``.
+
+    Written as one null test per column, which Spark hands down to the scan; ``na.drop`` stays above it.
+    """
+    return df.where(reduce(lambda a, b: a & b, [c.isNotNull() for c in cols(as_list(columns))]))
 
 
 def active_only(df: DataFrame, column: str, value: object = ACTIVE) -> DataFrame:

@@ -12,6 +12,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tabularium.operators.clean import drop_missing
 from tabularium.operators.names import as_list, col, cols
 
 _RANK = "__rank"
@@ -34,7 +35,6 @@ def last_wins(df: DataFrame, keys: str | Iterable[str], order: Iterable[str]) ->
 
 def dedup_count(df: DataFrame, keys: str | Iterable[str], count_nulls: bool = True) -> DataFrame:
     """Number of distinct keys as a one-row frame. A null key counts as one value unless told otherwise."""
-    distinct = df.select(*cols(as_list(keys))).distinct()
-    if not count_nulls:
-        distinct = distinct.na.drop()
-    return distinct.agg(F.count(F.lit(1)).alias("n"))
+    keys = as_list(keys)
+    values = df if count_nulls else drop_missing(df, keys)
+    return values.select(*cols(keys)).distinct().agg(F.count(F.lit(1)).alias("n"))

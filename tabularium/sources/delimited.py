@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabularium.operators.clean import drop_missing
 from tabularium.operators.names import as_list, col, cols
 
 # Column that holds the raw line of a row that did not fit the schema.
@@ -56,7 +57,7 @@ def read_lookup(
 ) -> DataFrame:
     """A code table. Rows without a code match nothing and are left out."""
     lookup = read_delimited(spark, path, schema, sep, encoding, header)
-    return lookup.na.drop(subset=[lookup.columns[0]])
+    return drop_missing(lookup, lookup.columns[0])
 
 
 def reject_counts(df: DataFrame) -> DataFrame:

@@ -1,0 +1,252 @@
+"""Golden rows for the composed datasets, from Latin-1 files as the registry publishes them."""
+
+from __future__ import annotations
+
+import datetime as dt
+import os
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from tabularium import functions as fn
+from tabularium import operators as op
+from tabularium import plans
+from tabularium import sources as src
+from tabularium.operators.names import col
+
+D = dt.date
+
+
+def est(basic="12", branch="1", check="5", name="LOJA", status="2", country="105", start="20200229", cnae="0111301",
+        street="RUA", street_name="DAS FLORES", number="10", cep="86000000", uf="PR", city="7667", email="a@b.com"):
+    fields = [basic, branch, check, "1", name, status, "20200301", "0", "", country, start, cnae, "", street, street_name,
+              number, "", "CENTRO", cep, uf, city, "43", "33331111", "", "", "", "", email, "", ""]
+    return ";".join(fields)
+
+
+ESTABLISHMENTS = [
+    est(),
+    est(basic="20", status="8"),
+    est(basic="21", status=""),
+    est(basic="22", name="", email=""),
+    est(basic="23", cep=""),
+    est(basic="24", country=""),
+    est(basic="25", country="999"),
+    est(basic="26", city="1"),
+    est(basic="27", city=""),
+    est(basic="28", cnae="9999999"),
+    est(basic="29", start=""),
+    est(basic="30", start="0"),
+    est(basic="31", start="00000000"),
+    est(basic="32", start="20200230"),
+    est(basic="33", start="18900101"),
+    est(basic="34", street="ÁREA"),
+    est(basic="35", street="PRAÇA"),
+    est(basic="36", street="SÍTIO"),
+    est(basic="37", street="ESTAÇÃO"),
+    est(basic="38", street=""),
+    est(basic="39", number="S/N"),
+    est(basic="40", number="40000"),
+    est(basic="41", street_name='"DAS; FLORES"', email='""'),
+    est(basic="123456789"),
+    est(basic="42", uf="", city="7668"),
+    est(basic="43", cnae="CNAE"),
+    est(basic="44")[: est(basic="44").index(";CENTRO")],
+]
+COMPANIES = [f"{k};{n};2062;49;1000,50;{size}" for k, n, size in [(12, "ALFA", 0), (22, "BETA", 1), (33, "GAMA", 3)]] + [
+    "34;DELTA;2062;49;0,00;5",
+    "35;;2062;49;0,00;2",
+    "36;ZETA;2062;49;0,00;",
+    "37;ETA;2062;98;0,00;5",
+    "38;TETA;9999;49;0,00;5",
+    "39;IOTA;2011;50;0,00;5",
+]
+PARTNERS = [
+    "12;1;SÓCIA UM;***1**;49;20100615;;;;0;4",
+    "12;2;;***2**;22;18500101;;;;0;9",
+    "12;3;C;***3**;98;;105;;;0;10",
+    "22;4;D;***4**;49;20100615;;;;0;0",
+    "33;2;E;***5**;50;20100615;;;;0;1",
+    "77;2;F;***6**;49;20100615;;;;0;1",
+    "12;2;G;***7**;11;20100615;;;;0;1",
+]
+REGIME = ["12;S;20200101;00000000", "13;;;20211231"]
+
+
+@pytest.fixture(scope="module")
+def files(tmp_path_factory):
+    root = tmp_path_factory.mktemp("registry")
+
+    def write(name, lines, encoding="ISO-8859-1"):
+        (root / name).write_bytes(("\n".join(lines) + "\n").encode(encoding))
+        return str(root / name)
+
+    return plans.RegistryFiles(
+        establishments=[write("est0.csv", ESTABLISHMENTS[:9]), write("est1.csv", ESTABLISHMENTS[9:])],
+        companies=[write("emp0.csv", COMPANIES[:4]), write("emp1.csv", COMPANIES[4:])],
+        partners=[write("soc0.csv", PARTNERS)],
+        qualifications=write("qual.csv", ["49;Sócio-Administrador", "22;Sócio", "50;Empresário", "98;Não informada"]),
+        legal_natures=write("nat.csv", ["2062;Sociedade Empresária Limitada", "2011;Empresa Pública"]),
+        countries=write("pais.csv", ["105;BRASIL", "13;AFEGANISTAO", "14;COLIS POSTAUX"]),
+        cities=write("mun.csv", ["7667;LONDRINA", "7668;SANTA BÁRBARA D'OESTE", "7669;A/B"]),
+        activities=write("cnae.csv", ["CNAE,DESCRICAO,COD,SETOR", '0111301,"Cultivo de arroz, irrigado",A,Agro'], "UTF-8"),
+        activities_header=True,
+    )
+
+
+@pytest.fixture(scope="module")
+def registry(spark, files):
+    return plans.read_registry(spark, files)
+
+
+def by_key(df, key="CNPJ BASICO"):
+    return {r[key]: r.asDict() for r in df.collect()}
+
+
+def test_establishments(registry):
+    frame = registry[0]
+    got = by_key(frame)
+    kept = [12, 22, 24, 29, 30, 31, 32, 33, 34, 35, 36, 37, 38, 39, 40, 41, 42]
+    assert sorted(got) == sorted([*(f"{k:08d}" for k in kept), "12345678"])
+    assert len(frame.columns) == 25
+    assert got["00000012"] == {
+        "CNPJ": "00000012000105", "CNPJ BASICO": "00000012", "CNPJ ORDEM": "0001", "CNPJ DV": "05",
+        "NOME FANTASIA": "LOJA", "INICIO ATIVIDADE": D(2020, 2, 29), "CNAE PRINCIPAL": "0111301",
+        "CNAE SEGUNDARIO": "-", "TIPO LOGRADOURO": "RUA", "LOGRADOURO": "DAS FLORES", "NUMERO": 10,
+        "COMPLEMENTO": "-", "BAIRRO": "CENTRO", "CEP": 86000000, "UF": "PR", "DDD": 43, "TELEFONE": 33331111,
+        "EMAIL": "A@B.COM", "ANO INICIO ATIVIDADE": 2020, "MES INICIO ATIVIDADE": 2, "PAIS": "BRASIL",
+        "MUNICIPIO": "LONDRINA", "DESCRICAO": "CULTIVO DE ARROZ, IRRIGADO", "SETOR": "Agro",
+        "CNAE DESCRICAO": "0111301 - CULTIVO DE ARROZ, IRRIGADO"}
+    assert got["00000022"]["NOME FANTASIA"] == "-" and got["00000022"]["EMAIL"] == "-"
+    assert got["00000024"]["PAIS"] == "BRASIL"
+    for k in (29, 30, 31, 32):
+        row = got[f"{k:08d}"]
+        assert (row["INICIO ATIVIDADE"], row["ANO INICIO ATIVIDADE"], row["MES INICIO ATIVIDADE"]) == (None, None, None)
+    old = got["00000033"]
+    assert (old["INICIO ATIVIDADE"], old["ANO INICIO ATIVIDADE"], old["MES INICIO ATIVIDADE"]) == (D(1900, 1, 1), 1890, 1)
+    streets = [got[f"{k:08d}"]["TIPO LOGRADOURO"] for k in (34, 35, 36, 37, 38)]
+    assert streets == ["AREA", "PRACA", "SITIO", "ESTACAO", "-"]
+    assert got["00000039"]["NUMERO"] is None and got["00000040"]["NUMERO"] is None
+    assert got["00000041"]["LOGRADOURO"] == "DAS; FLORES" and got["00000041"]["EMAIL"] == "-"
+    assert got["12345678"]["CNPJ"] == "12345678000105"
+    assert got["00000042"]["UF"] == "-" and got["00000042"]["MUNICIPIO"] == "SANTA BÁRBARA D'OESTE"
+
+
+def test_establishment_options(spark, files):
+    raw = src.read_delimited(spark, files.establishments, src.schemas.ESTABLISHMENTS)
+    lookups = [
+        src.read_lookup(spark, files.countries, src.schemas.COUNTRIES),
+        src.read_lookup(spark, files.cities, src.schemas.CITIES),
+        src.read_lookup(spark, files.activities, src.schemas.ACTIVITIES, sep=",", encoding="UTF-8"),
+    ]
+    got = by_key(plans.establishments(raw, *lookups, how="left", floor_mode="null", address_lines=True))
+    assert got["00000033"]["INICIO ATIVIDADE"] is None and got["00000033"]["ANO INICIO ATIVIDADE"] == 1890
+    assert got["00000025"]["PAIS"] is None and got["00000028"]["DESCRICAO"] is None
+    assert got["00000012"]["ENDERECO"] == "RUA DAS FLORES 10" and got["00000012"]["LOCALIDADE"] == "LONDRINA - PR"
+    # The header row of the activity file is an ordinary row when it is not skipped; only the
+    # establishment that carries that very text as its code meets it.
+    inner = by_key(plans.establishments(raw, *lookups))
+    assert inner["00000043"]["SETOR"] == "SETOR" and inner["00000012"]["SETOR"] == "Agro"
+    misses = op.lookup_misses(op.active_only(raw, "SIT CADASTRAL"), lookups[1], "CODIGO_MUNICIPIO")
+    assert {r[0]: r[1] for r in misses.collect()} == {1: 1, None: 2}
+
+
+def test_companies(registry):
+    got = by_key(registry[1])
+    assert sorted(got) == [f"{k:08d}" for k in (12, 22, 33, 34, 35, 36, 37, 39)]
+    assert len(registry[1].columns) == 6
+    assert got["00000012"] == {
+        "CNPJ BASICO": "00000012", "RAZAO SOCIAL": "ALFA", "CAPITAL SOCIAL": "1000,50",
+        "NATUREZA JURIDICA": "SOCIEDADE EMPRESARIA LIMITADA",
+        "PORTE DA EMPRESA": "MICROEMPREENDEDOR INDIVIDUAL (MEI)", "FATURAMENTO/ANO": "ATÉ 81 MIL"}
+    assert got["00000035"]["RAZAO SOCIAL"] == "-"
+    assert [got[f"{k:08d}"]["PORTE DA EMPRESA"] for k in (35, 36)] == [None, None]
+    assert [got[f"{k:08d}"]["FATURAMENTO/ANO"] for k in (35, 36)] == [None, None]
+    assert got["00000039"]["NATUREZA JURIDICA"] == "EMPRESA PUBLICA"
+
+
+def test_a_qualification_listed_twice_does_not_double_companies(spark, files):
+    raw = src.read_delimited(spark, files.companies, src.schemas.COMPANIES)
+    qualifications = src.read_lookup(spark, files.qualifications, src.schemas.QUALIFICATIONS)
+    natures = src.read_lookup(spark, files.legal_natures, src.schemas.LEGAL_NATURES)
+    once = plans.companies(raw, qualifications, natures)
+    twice = plans.companies(raw, qualifications.unionAll(qualifications), natures)
+    assert once.count() == twice.count() == 8
+    unknown = plans.companies(raw, qualifications.where("false"), natures)
+    assert unknown.count() == 0 and plans.companies(raw, qualifications.where("false"), natures, how="left").count() == 9
+
+
+def test_partners(registry):
+    got = by_key(registry[2], "CNPJ/CPF DO SOCIO")
+    assert len(registry[2].columns) == 7
+    assert sorted(got) == [f"***{i}**" for i in (1, 2, 3, 4, 5, 6)]
+    assert got["***1**"] == {
+        "CNPJ BASICO": "00000012", "NOME SOCIO": "SÓCIA UM", "CNPJ/CPF DO SOCIO": "***1**",
+        "DT ENTRADA NA SOCIEDADE": D(2010, 6, 15), "QUALIFICACAO DO SOCIO": "SOCIO-ADMINISTRADOR",
+        "TIPO SOCIO": "PESSOA JURIDICA", "FAIXA ETARIA": "31 - 40 ANOS"}
+    assert got["***2**"]["NOME SOCIO"] == "-" and got["***2**"]["DT ENTRADA NA SOCIEDADE"] == D(1900, 1, 1)
+    assert got["***2**"]["TIPO SOCIO"] == "PESSOA FISICA" and got["***2**"]["FAIXA ETARIA"] == "MAIS DE 80 ANOS"
+    third = got["***3**"]
+    assert third["DT ENTRADA NA SOCIEDADE"] is None and third["FAIXA ETARIA"] is None
+    assert third["TIPO SOCIO"] == "ESTRANGEIRO" and third["QUALIFICACAO DO SOCIO"] == "NAO INFORMADO"
+    assert got["***4**"]["TIPO SOCIO"] is None and got["***4**"]["FAIXA ETARIA"] == "NÃO SE APLICA"
+
+
+def test_regime(spark, tmp_path):
+    (tmp_path / "simples.csv").write_text("\n".join(REGIME) + "\n")
+    raw = src.read_delimited(spark, str(tmp_path / "simples.csv"), src.schemas.REGIME)
+    assert sorted(tuple(r) for r in plans.regime(raw).collect()) == [
+        ("00000012", "S", D(2020, 1, 1), None), ("00000013", "-", None, D(2021, 12, 31))]
+
+
+def test_whole_job_is_repeatable(spark, files, tmp_path, registry):
+    target = str(tmp_path / "out")
+    for _ in range(2):
+        plans.consolidate_files(spark, files, target)
+    back = src.read_partition(spark, target)
+    assert len(back.columns) == 36 and back.columns[-2:] == ["UF", "MUNICIPIO"]
+    rows = Counter(r["CNPJ BASICO"] for r in back.collect())
+    assert rows == {"00000012": 3, "00000022": 1, "00000033": 1}
+    plans.consolidate_files(spark, files, target, mode="append", rows_per_task=1)
+    assert src.read_partition(spark, target).count() == 10
+    merged = op.consolidate(*registry, "CNPJ BASICO")
+    assert merged.count() == 5
+    assert os.path.isdir(f"{target}/UF=PR/MUNICIPIO=LONDRINA")
+
+
+def test_state_extract(spark, files, tmp_path, plan):
+    target = str(tmp_path / "out")
+    plans.consolidate_files(spark, files, target)
+    order = ["NOME SOCIO", "CNPJ/CPF DO SOCIO"]
+    got = plans.state_extract(spark, target, "PR", order)
+    assert sorted((r["CNPJ"], r["NOME SOCIO"]) for r in got.collect()) == [
+        ("00000012000105", "-"), ("00000022000105", "D"), ("00000033000105", "E")]
+    assert "PartitionFilters: [isnotnull(UF" in plan(got)
+    assert op.distinct_values(got, "QUALIFICACAO DO SOCIO").count() == 3
+    assert plans.state_extract(spark, target, "SP", order).count() == 0
+
+
+def test_merged_table_profile(registry):
+    merged = op.consolidate(*registry, "CNPJ BASICO")
+    want = merged.groupBy("UF", "MUNICIPIO").agg(F.count("*").alias("n_rows"), F.countDistinct("CNPJ").alias("n_est"))
+    got = op.consolidation_profile(*registry, "CNPJ BASICO", ["UF", "MUNICIPIO"], "CNPJ")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_clean_up_is_one_scan_with_pushed_filters_and_broadcast_lookups(registry, plan):
+    text = plan(registry[0])
+    assert "EqualTo(SIT CADASTRAL,2)" in text and "IsNotNull(CEP)" in text
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text and "Exchange hashpartitioning" not in text
+    narrow = plan(registry[0].select("CNPJ", col("EMAIL")))
+    schema = next(line for line in narrow.splitlines() if "ReadSchema" in line and "CNPJ ORDEM" in line)
+    assert "COMPLEMENTO" not in schema and "TELEFONE2" not in schema
+
+
+def test_relabelled_country(spark, files):
+    names = {r[0]: r[1] for r in plans.countries(src.read_lookup(spark, files.countries, src.schemas.COUNTRIES)).collect()}
+    assert names == {105: "BRASIL", 13: "AFEGANISTAO", 14: "BRASIL"}
+
+
+def test_no_phone_default():
+    assert fn.NO_PHONE == "NAO DISPONIBILIZADO"
