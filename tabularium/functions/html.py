@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from html.entities import name2codepoint
 
@@ -39,6 +40,16 @@ SEARCH_PAGE = PageLayout(
 
 _MARKUP = r"(?s)<!--.*?-->|<script\b.*?</script>|<style\b.*?</style>|<[^>]*>"
 _ENTITY = r"\A(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
+_ALL = 1 << 30
+
+# The names that pages are full of come first: a map is searched from its start.
+_FREQUENT = ["amp", "quot", "lt", "gt", "nbsp"]
+_NAMES = [*_FREQUENT, *sorted(set(name2codepoint) - set(_FREQUENT))]
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` worked out once, however often ``body`` uses it."""
+    return F.transform(F.array(value), body)[0]
 
 
 def _code_point(name: Column) -> Column:
@@ -51,34 +62,45 @@ def _code_point(name: Column) -> Column:
     return F.when(valid, F.decode(F.unhex(F.lpad(hexed, 8, "0")), "UTF-32"))
 
 
-def unescape_entities(col: Column) -> Column:
-    """Decode ``&amp;``, ``&#233;``, ``&#xE9;`` and the other named entities, each one once."""
-    names = F.create_map(*[F.lit(x) for name, point in name2codepoint.items() for x in (name, chr(point))])
+def _unescape(text: Column) -> Column:
+    # `text` is used several times here: pass a column or a lambda's variable, no expression.
+    names = F.create_map(*[F.lit(x) for name in _NAMES for x in (name, chr(name2codepoint[name]))])
 
     def decode(piece: Column) -> Column:
-        name = F.regexp_extract(piece, _ENTITY, 1)
+        name, rest = piece["name"], piece["rest"]
         char = F.when(name.startswith("#"), _code_point(name)).otherwise(F.element_at(names, name))
-        tail = piece.substr(F.length(name) + 2, F.length(piece))
-        return F.coalesce(F.concat(char, tail), F.concat(F.lit("&"), piece))
+        tail = rest.substr(F.length(name) + 2, F.length(rest))
+        return F.coalesce(F.concat(char, tail), F.concat(F.lit("&"), rest))
+
+    pieces = F.transform(
+        F.slice(F.split(text, "&"), 2, _ALL),
+        lambda rest: F.struct(rest.alias("rest"), F.regexp_extract(rest, _ENTITY, 1).alias("name")),
+    )
+    decoded = F.concat(F.substring_index(text, "&", 1), F.array_join(F.transform(pieces, decode), ""))
+    return F.when(text.contains("&"), decoded).otherwise(text)
+
+
+def _blank_to_null(text: Column) -> Column:
+    return F.nullif(text, F.lit(""))
+
 
-    pieces = F.split(col, "&")
-    decoded = F.concat(pieces[0], F.array_join(F.transform(F.slice(pieces, 2, F.size(pieces)), decode), ""))
-    return F.when(col.contains("&"), decoded).otherwise(col)
+def _markup_removed(text: Column) -> Column:
+    return F.regexp_replace(text, _MARKUP, "")
+
+
+def unescape_entities(col: Column) -> Column:
+    """Decode ``&amp;``, ``&#233;``, ``&#xE9;`` and the other named entities, each one once."""
+    return _let(col, _unescape)
 
 
 def strip_tags(col: Column) -> Column:
     """Text of a piece of markup: tags, comments, scripts and styles go, entities are decoded."""
-    return unescape_entities(F.regexp_replace(col, _MARKUP, ""))
+    return _let(_markup_removed(col), _unescape)
 
 
 def extract_links(html: Column, pattern: str = r'(?s)<a\b[^>]*?\bhref="([^"]*)"') -> Column:
     """All link targets in page order."""
-    links = F.regexp_extract_all(html, F.lit(pattern), 1)
-    return F.transform(links, unescape_entities)
-
-
-def _blank_to_null(col: Column) -> Column:
-    return F.nullif(col, F.lit(""))
+    return F.transform(F.regexp_extract_all(html, F.lit(pattern), 1), _unescape)
 
 
 def extract_results(html: Column, layout: PageLayout, drop_last: bool = True) -> Column:
@@ -91,17 +113,27 @@ def extract_results(html: Column, layout: PageLayout, drop_last: bool = True) ->
     region = html if layout.region is None else F.regexp_extract(html, layout.region, 1)
     blocks = F.regexp_extract_all(region, F.lit(layout.block), 1)
     if drop_last:
-        blocks = F.slice(blocks, 1, F.greatest(F.size(blocks) - 1, F.lit(0)))
-    return F.transform(
+        blocks = _let(blocks, lambda b: F.slice(b, 1, F.greatest(F.size(b) - 1, F.lit(0))))
+
+    # One step per pass: what a later step uses twice is a field by then, not a search to repeat.
+    found = F.transform(
         blocks,
         lambda block, pos: F.struct(
             pos.alias("pos"),
-            _blank_to_null(unescape_entities(F.regexp_extract(block, layout.link, 1))).alias("link"),
-            _blank_to_null(strip_tags(F.regexp_extract(block, layout.text, 1))).alias("descricao"),
+            F.regexp_extract(block, layout.link, 1).alias("link"),
+            _markup_removed(F.regexp_extract(block, layout.text, 1)).alias("descricao"),
         ),
     )
 
+    def each_part(step: Callable[[Column], Column]) -> Callable[[Column], Column]:
+        return lambda r: F.struct(
+            r["pos"].alias("pos"), step(r["link"]).alias("link"), step(r["descricao"]).alias("descricao")
+        )
+
+    return F.transform(F.transform(found, each_part(_unescape)), each_part(_blank_to_null))
+
 
 def extract_phone(html: Column, pattern: str = PageLayout.phone, default: str = NO_PHONE) -> Column:
     """First phone of the page, or ``default``."""
-    return F.coalesce(_blank_to_null(strip_tags(F.regexp_extract(html, pattern, 1))), F.lit(default))
+    phone = strip_tags(F.regexp_extract(html, pattern, 1))
+    return F.coalesce(_let(phone, _blank_to_null), F.lit(default))

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,8 +15,8 @@ from tabularium.operators.names import as_list, col, cols
 MAX_BROADCAST_BYTES = 64 << 20
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Size of the rows of ``df``, found by one distributed aggregate that returns a single number."""
+def measured_bytes(*frames: DataFrame) -> list[int]:
+    """Size of the rows of each frame, found by one distributed job that returns a number per frame."""
 
     def width(field: T.StructField) -> Column:
         c = col(field.name)
@@ -25,16 +26,37 @@ def measured_bytes(df: DataFrame) -> int:
             return F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0)) + F.lit(16)
         return F.lit(8)
 
-    per_row = sum((width(f) for f in df.schema), F.lit(16))
-    return df.agg(F.coalesce(F.sum(per_row.cast("bigint")), F.lit(0))).first()[0]
+    def size(i: int, df: DataFrame) -> DataFrame:
+        per_row = sum((width(f) for f in df.schema), F.lit(16)).cast("bigint")
+        return df.agg(F.coalesce(F.sum(per_row), F.lit(0)).alias("bytes")).select(F.lit(i).alias("i"), "bytes")
 
+    sizes = reduce(DataFrame.unionAll, [size(i, df) for i, df in enumerate(frames)])
+    return [row["bytes"] for row in sorted(sizes.collect())]
 
-def _join(fact: DataFrame, dim: DataFrame, keys: list[str], how: str, max_bytes: int) -> DataFrame:
-    if measured_bytes(dim) <= max_bytes:
+
+def _join(fact: DataFrame, dim: DataFrame, keys: list[str], how: str, fits: bool) -> DataFrame:
+    if fits:
         return fact.join(F.broadcast(dim), keys, how)
     return balanced_join([fact, dim], keys, how)
 
 
+def join_lookups(
+    fact: DataFrame,
+    lookups: Sequence[tuple[DataFrame, str | Iterable[str]]],
+    how: str = "inner",
+    max_bytes: int = MAX_BROADCAST_BYTES,
+) -> DataFrame:
+    """Add the columns of each ``(lookup, key)``; with ``inner``, rows with an unknown or null code go.
+
+    The lookups are measured first, in one job. Those up to ``max_bytes`` are broadcast, so a code
+    that most rows share costs nothing; a larger one is joined by a shuffle that spreads such codes.
+    """
+    sizes = measured_bytes(*[dim for dim, _ in lookups])
+    for (dim, key), size in zip(lookups, sizes, strict=True):
+        fact = _join(fact, dim, as_list(key), how, size <= max_bytes)
+    return fact
+
+
 def join_lookup(
     fact: DataFrame,
     dim: DataFrame,
@@ -42,12 +64,12 @@ def join_lookup(
     how: str = "inner",
     max_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
-    """Add the lookup's columns; with ``inner``, rows with an unknown or null code go.
+    """:func:`join_lookups` with one lookup."""
+    return join_lookups(fact, [(dim, key)], how, max_bytes)
 
-    The lookup is measured first. Up to ``max_bytes`` it is broadcast, so a code that most rows
-    share costs nothing; a larger one is joined by a shuffle that spreads such codes.
-    """
-    return _join(fact, dim, as_list(key), how, max_bytes)
+
+def _known(dim: DataFrame, keys: list[str]) -> DataFrame:
+    return dim.select(*cols(keys)).distinct()
 
 
 def keep_known(
@@ -55,7 +77,8 @@ def keep_known(
 ) -> DataFrame:
     """Rows whose code the lookup lists. A code listed twice does not double rows."""
     keys = as_list(key)
-    return _join(fact, dim.select(*cols(keys)).distinct(), keys, "left_semi", max_bytes)
+    known = _known(dim, keys)
+    return _join(fact, known, keys, "left_semi", measured_bytes(known)[0] <= max_bytes)
 
 
 def lookup_misses(
@@ -64,4 +87,5 @@ def lookup_misses(
     """Codes the lookup does not list, null included, with the number of rows an inner join drops."""
     keys = as_list(key)
     used = fact.groupBy(*cols(keys)).agg(F.count(F.lit(1)).alias("n_rows"))
-    return _join(used, dim.select(*cols(keys)).distinct(), keys, "left_anti", max_bytes)
+    known = _known(dim, keys)
+    return _join(used, known, keys, "left_anti", measured_bytes(known)[0] <= max_bytes)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tabularium import functions as fn
 from tabularium.operators.clean import active_only, drop_missing, fill_code, fill_text
-from tabularium.operators.lookups import join_lookup, keep_known
+from tabularium.operators.lookups import join_lookup, join_lookups, keep_known
 from tabularium.operators.names import col, cols
 
 # The columns each clean table is delivered with.
@@ -83,9 +83,15 @@ def establishments(
             "TIPO LOGRADOURO": fn.clean_text(col("TIPO LOGRADOURO"), fn.STREET_TYPE_RULES),
         }
     )
-    df = join_lookup(df, countries(country_lookup), "CODIGO_PAIS", how)
-    df = join_lookup(df, cities(city_lookup), "CODIGO_MUNICIPIO", how)
-    df = join_lookup(df, activities(activity_lookup), "CNAE PRINCIPAL", how)
+    df = join_lookups(
+        df,
+        [
+            (countries(country_lookup), "CODIGO_PAIS"),
+            (cities(city_lookup), "CODIGO_MUNICIPIO"),
+            (activities(activity_lookup), "CNAE PRINCIPAL"),
+        ],
+        how,
+    )
     df = df.withColumn("CNAE DESCRICAO", fn.activity_label(col("CNAE PRINCIPAL"), col("DESCRICAO")))
     names = list(ESTABLISHMENT_COLUMNS)
     if address_lines:

@@ -58,9 +58,9 @@ def _pick(c: Column, values: dict, otherwise: Column | None = None) -> Column:
 
 def _as(df: DataFrame, schema: str, values: dict[str, Column]) -> DataFrame:
     """Columns of ``schema`` in order; a value that does not fit its type is null, as in a file scan."""
-    missing = F.lit(None).cast("string")
+    missing = F.lit(None)
     return df.select(
-        *[values.get(f.name, missing).try_cast(f.dataType).alias(f.name) for f in T.StructType.fromDDL(schema)]
+        *[_text(values.get(f.name, missing)).try_cast(f.dataType).alias(f.name) for f in T.StructType.fromDDL(schema)]
     )
 
 
@@ -97,7 +97,7 @@ class StarSchema:
                 "CNAE PRINCIPAL": F.lpad(_text(key % 3000), 7, "0"),
                 "TIPO LOGRADOURO": _pick(F.col("o_orderpriority"), STREET_TYPES),
                 "LOGRADOURO": F.concat(F.lit('das "Flores"; '), _text(owner)),
-                "NUMERO": key,
+                "NUMERO": F.when(key <= 32767, key),
                 "CEP": F.when(key % 13 != 0, key + 80000000),
                 "UF": _pick(owner % 5, STATES),
                 "CODIGO_MUNICIPIO": owner % 25,

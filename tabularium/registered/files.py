@@ -126,7 +126,7 @@ def partition_roundtrip(t: StarSchema) -> DataFrame:
     path = scratch_path(t.spark, "customers")
     nation = t.table("nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_regionkey", F.col("n_name").alias("city"))
     region = t.table("region").select(F.col("r_regionkey").alias("n_regionkey"), F.col("r_name").alias("state"))
-    placed = op.join_lookup(op.join_lookup(t.table("customer"), nation, "c_nationkey"), region, "n_regionkey")
+    placed = op.join_lookups(t.table("customer"), [(nation, "c_nationkey"), (region, "n_regionkey")])
     for _ in range(2):
         src.write_partitioned(placed, path, ["state", "city"])
     return op.row_counts(src.read_partition(t.spark, path, state="ASIA"), "city").toDF("city", "n")

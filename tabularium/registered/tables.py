@@ -86,8 +86,8 @@ def _companies(t: StarSchema, *names: str) -> DataFrame:
         F.col("n_nationkey").alias("c_nationkey"), "n_regionkey", F.col("n_name").alias("city")
     )
     region = t.table("region").select(F.col("r_regionkey").alias("n_regionkey"), F.col("r_name").alias("state"))
-    placed = op.join_lookup(op.join_lookup(t.table("customer"), nation, "c_nationkey"), region, "n_regionkey")
-    return placed.select(*names, "city", "state") if names else placed
+    placed = op.join_lookups(t.table("customer"), [(nation, "c_nationkey"), (region, "n_regionkey")])
+    return placed.select(*names, "city", "state")
 
 
 def consolidation_inputs(t: StarSchema) -> tuple[DataFrame, DataFrame, DataFrame]:
