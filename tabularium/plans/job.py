@@ -79,4 +79,6 @@ def consolidate_files(
     """Read, clean, merge and write by state and city. Running it again leaves the same table."""
     frames = read_registry(spark, files)
     merged = consolidate(*frames, COMPANY_KEY, spread=SPREAD, rows_per_task=rows_per_task)
-    write_partitioned(merged, target, PARTITION_COLUMNS, mode)
+    # A city name belongs to one state or a few, so there are about as many folders as cities.
+    leaves = read_lookup(spark, files.cities, schemas.CITIES, encoding=files.encoding).count()
+    write_partitioned(merged, target, PARTITION_COLUMNS, mode, leaves=leaves)

@@ -137,21 +137,18 @@ def test_reading_one_partition(spark, places, tmp_path, plan):
 
 
 def test_a_large_leaf_is_written_by_several_tasks(spark, tmp_path):
-    conf = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "200KB", "spark.sql.shuffle.partitions": "2000"}
-    for k, v in conf.items():
-        spark.conf.set(k, v)
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200KB")
     try:
         df = spark.range(60000, numPartitions=12).select(
             F.when(F.col("id") % 3 == 0, "BIG").otherwise((F.col("id") % 50).cast("string")).alias("c"),
             F.sha2(F.col("id").cast("string"), 256).alias("v"))
         path = str(tmp_path / "t")
-        src.write_partitioned(df, path, "c")
+        src.write_partitioned(df, path, "c", leaves=500)
         files = {d: len([f for f in os.listdir(f"{path}/{d}") if f.endswith(".parquet")]) for d in os.listdir(path) if "=" in d}
         assert files["c=BIG"] > 3 and max(n for d, n in files.items() if d != "c=BIG") <= 2
         assert spark.read.parquet(path).count() == 60000
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
-        spark.conf.set("spark.sql.shuffle.partitions", "8")
 
 
 def test_records_per_file(spark, tmp_path):
