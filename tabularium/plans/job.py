@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tabularium.operators.balanced import ROWS_PER_TASK
 from tabularium.operators.consolidate import consolidate
 from tabularium.plans import registry
+from tabularium.session import scratch_path
 from tabularium.sources import schemas
 from tabularium.sources.delimited import read_delimited, read_lookup
 from tabularium.sources.partitioned import OVERWRITE_PARTITIONS, write_partitioned
@@ -69,15 +70,31 @@ def read_registry(spark: SparkSession, files: RegistryFiles) -> tuple[DataFrame,
     return establishments, companies, partners
 
 
+def staged(df: DataFrame, folder: str) -> DataFrame:
+    """Write ``df`` as Parquet and go on from there."""
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def consolidate_files(
     spark: SparkSession,
     files: RegistryFiles,
     target: str,
     mode: str = OVERWRITE_PARTITIONS,
     rows_per_task: int | None = ROWS_PER_TASK,
+    stage: bool = True,
 ) -> None:
-    """Read, clean, merge and write by state and city. Running it again leaves the same table."""
+    """Read, clean, merge and write by state and city. Running it again leaves the same table.
+
+    The merge looks at its keys before it joins. With ``stage`` the clean tables are written to the
+    shared scratch folder first, so the text files are parsed once, the look at the keys reads one
+    Parquet column, and an executor lost in the merge costs no new parsing.
+    """
     frames = read_registry(spark, files)
+    if stage:
+        root = scratch_path(spark, "registry-stage")
+        names = ("establishments", "companies", "partners")
+        frames = tuple(staged(df, f"{root}/{name}") for name, df in zip(names, frames, strict=True))
     merged = consolidate(*frames, COMPANY_KEY, spread=SPREAD, rows_per_task=rows_per_task)
     # A city name belongs to one state or a few, so there are about as many folders as cities.
     leaves = read_lookup(spark, files.cities, schemas.CITIES, encoding=files.encoding).count()

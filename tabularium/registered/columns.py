@@ -40,7 +40,7 @@ select o_orderkey, concat_ws(' ', o_orderpriority, case when o_orderstatus <> 'P
        cast(o_custkey as varchar)) line
 from orders
 """)
-def street_line(t: StarSchema) -> DataFrame:
+def address_line(t: StarSchema) -> DataFrame:
     street = F.when(F.col("o_orderstatus") != "P", "das Flores")
     line = fn.address_line(F.col("o_orderpriority"), street, F.col("o_custkey"))
     return t.table("orders").select("o_orderkey", line.alias("line"))

@@ -210,6 +210,8 @@ def test_whole_job_is_repeatable(spark, files, tmp_path, registry):
     assert rows == {"00000012": 3, "00000022": 1, "00000033": 1}
     plans.consolidate_files(spark, files, target, mode="append", rows_per_task=1)
     assert src.read_partition(spark, target).count() == 10
+    plans.consolidate_files(spark, files, str(tmp_path / "direct"), stage=False)
+    assert src.read_partition(spark, str(tmp_path / "direct")).count() == 5
     merged = op.consolidate(*registry, "CNPJ BASICO")
     assert merged.count() == 5
     assert os.path.isdir(f"{target}/UF=PR/MUNICIPIO=LONDRINA")
