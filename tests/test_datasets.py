@@ -194,8 +194,8 @@ def test_partners(registry):
 
 
 def test_regime(spark, tmp_path):
-    (tmp_path / "simples.csv").write_text("\n".join(REGIME) + "\n")
-    raw = src.read_delimited(spark, str(tmp_path / "simples.csv"), src.schemas.REGIME)
+    (tmp_path / "regime.csv").write_text("\n".join(REGIME) + "\n")
+    raw = src.read_delimited(spark, str(tmp_path / "regime.csv"), src.schemas.REGIME)
     assert sorted(tuple(r) for r in plans.regime(raw).collect()) == [
         ("00000012", "S", D(2020, 1, 1), None), ("00000013", "-", None, D(2021, 12, 31))]
 
