@@ -128,7 +128,7 @@ def partition_roundtrip(t: StarSchema) -> DataFrame:
     region = t.table("region").select(F.col("r_regionkey").alias("n_regionkey"), F.col("r_name").alias("state"))
     placed = op.join_lookups(t.table("customer"), [(nation, "c_nationkey"), (region, "n_regionkey")])
     for _ in range(2):
-        src.write_partitioned(placed, path, ["state", "city"])
+        src.write_partitioned(placed, path, ["state", "city"], leaves=25)
     return op.row_counts(src.read_partition(t.spark, path, state="ASIA"), "city").toDF("city", "n")
 
 

@@ -132,7 +132,7 @@ select "CNPJ", "RAZAO SOCIAL", "NOME SOCIO", "UF", "MUNICIPIO" from (
 def registry_state_extract(t: StarSchema) -> DataFrame:
     """Write the consolidation by state and city, read one state back, keep a row per establishment."""
     root = scratch_path(t.spark, "registry")
-    write_partitioned(_merged(t), root, PARTITION_COLUMNS)
+    write_partitioned(_merged(t), root, PARTITION_COLUMNS, leaves=125)
     extract = state_extract(t.spark, root, "PR", ["NOME SOCIO", "CNPJ/CPF DO SOCIO", "CEP"])
     return extract.select("CNPJ", "RAZAO SOCIAL", "NOME SOCIO", "UF", "MUNICIPIO")
 
