@@ -23,7 +23,7 @@ class PageLayout:
     """
 
     block: str
-    link: str = r'(?s)<a\b[^>]*?\bhref="([^"]*)"'
+    link: str = r'(?s)<a\b[^>]*?\shref="([^"]*)"'
     text: str = r"(?s)\A(.*)\z"
     phone: str = r'href="tel:([^"]+)"'
     region: str | None = None
@@ -98,7 +98,7 @@ def strip_tags(col: Column) -> Column:
     return _let(_markup_removed(col), _unescape)
 
 
-def extract_links(html: Column, pattern: str = r'(?s)<a\b[^>]*?\bhref="([^"]*)"') -> Column:
+def extract_links(html: Column, pattern: str = r'(?s)<a\b[^>]*?\shref="([^"]*)"') -> Column:
     """All link targets in page order."""
     return F.transform(F.regexp_extract_all(html, F.lit(pattern), 1), _unescape)
 

@@ -68,8 +68,8 @@ def hot_keys(
 
 
 def _hashable(df: DataFrame, keys: Sequence[str]) -> list[str]:
-    plain = (T.ArrayType, T.MapType, T.StructType, T.VariantType)
-    return [f.name for f in df.schema if f.name not in keys and not isinstance(f.dataType, plain)]
+    nested = (T.ArrayType, T.MapType, T.StructType, T.VariantType)
+    return [f.name for f in df.schema if f.name not in keys and not isinstance(f.dataType, nested)]
 
 
 def _own_cell(df: DataFrame, keys: Sequence[str], spread: Iterable[str] | None) -> Column:

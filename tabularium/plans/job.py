@@ -88,7 +88,8 @@ def consolidate_files(
 
     The merge looks at its keys before it joins. With ``stage`` the clean tables are written to the
     shared scratch folder first, so the text files are parsed once, the look at the keys reads one
-    Parquet column, and an executor lost in the merge costs no new parsing.
+    Parquet column, and an executor lost in the merge costs no new parsing. The staged tables are
+    left there for the owner of that folder to clear.
     """
     frames = read_registry(spark, files)
     if stage:

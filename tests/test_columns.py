@@ -190,8 +190,8 @@ def test_phone_of_a_search_page(values):
 
 
 def test_links_in_page_order(values):
-    html = '<a class="x" href="/2">b</a><a\nhref="/1?a&amp;b">a</a><a name="x">none</a>'
-    assert values([html, ""], "h string", fn.extract_links(F.col("h"))) == [["/2", "/1?a&b"], []]
+    html = '<a class="x" href="/2">b</a><a\nhref="/1?a&amp;b">a</a><a name="x">none</a><a data-href="/no" href="/3">c</a>'
+    assert values([html, ""], "h string", fn.extract_links(F.col("h"))) == [["/2", "/1?a&b", "/3"], []]
 
 
 def test_long_pages_are_read_whole(values):

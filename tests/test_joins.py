@@ -92,6 +92,17 @@ def test_rows_of_a_hot_key_are_spread_even_if_they_are_copies(spark):
     assert len(loads) >= 5 and max(loads) <= 8000 * 0.4
 
 
+def test_rows_are_dealt_out_the_same_way_each_time(spark, skewed):
+    def dealt(df):
+        hot = op.hot_keys([df, skewed[2]], "k", rows_per_task=20)
+        return _place(df, 0, 2, ["k"], hot, None, False)
+
+    shuffled = skewed[0].repartition(6, "a")
+    for df in (skewed[0], shuffled):
+        placed = dealt(df)
+        assert bag(placed) == bag(placed) == bag(dealt(df))
+
+
 def test_rows_without_a_key_are_spread_in_a_left_join(spark):
     left = spark.range(4000, numPartitions=4).select(F.lit(None).cast("int").alias("k"), F.col("id").alias("a"))
     right = spark.createDataFrame([(1, "x")], "k int, b string")

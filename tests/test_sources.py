@@ -192,3 +192,17 @@ def test_scratch_is_below_the_shared_folder(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     one, two = ses.scratch_path(spark, "x"), ses.scratch_path(spark, "x")
     assert one.startswith(f"{base}/x-") and one != two
+
+
+def test_a_cluster_needs_a_shared_scratch_folder():
+    class Cluster:
+        class conf:
+            get = staticmethod(lambda name, default: default)
+
+        class sparkContext:
+            master = "yarn"
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        ses.scratch_path(Cluster, "x")
+    Cluster.sparkContext.master = "local[2]"
+    assert os.path.isdir(os.path.dirname(ses.scratch_path(Cluster, "x")))
