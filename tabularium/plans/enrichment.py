@@ -31,25 +31,24 @@ def page_results(
 
 def enrich(
     companies: DataFrame,
-    pages: DataFrame,
+    found: DataFrame,
     order: Iterable[str],
     page_key: str = "query",
     page_order: Iterable[str] = ("page_id",),
-    layout: fn.PageLayout = fn.SEARCH_PAGE,
     key: str = "CNPJ",
     name: str = "NOME FANTASIA",
     city: str = "MUNICIPIO",
     state: str = "UF",
-    drop_last: bool = True,
 ) -> DataFrame:
     """One row per company name: ``NOME_EMPRESA, tel, link, descricao``.
 
     Companies are cut to the first row per ``key`` in ``order``; of those that share a name the
-    last one in ``order`` counts. ``pages`` holds the page stored for a search key in ``page_key``;
-    of several the last in ``page_order`` counts. ``link`` and ``descricao`` are arrays of equal
-    length in page order. Companies without a page have empty arrays and the default phone.
+    last one in ``order`` counts. ``found`` is what :func:`page_results` makes of the stored pages,
+    with the search key they were stored for in ``page_key``; of several the last in ``page_order``
+    counts. ``link`` and ``descricao`` are arrays of equal length in page order. Companies without
+    a page have empty arrays and the default phone.
 
-    Pages are reduced to their extracted parts before anything is shuffled, and both sides hold a
+    Whole pages are never shuffled, only what was extracted from them, and both sides hold a
     search key once when they are joined, so no key can pile up in one task.
     """
     order = list(order)
@@ -62,8 +61,7 @@ def enrich(
         order,
     ).select("__search", NAME)
 
-    extracted = page_results(pages, [page_key, *page_order], layout, drop_last=drop_last)
-    latest = last_wins(extracted, page_key, page_order).select(col(page_key).alias("__search"), "results", "tel")
+    latest = last_wins(found, page_key, page_order).select(col(page_key).alias("__search"), "results", "tel")
 
     def part(field: str) -> Column:
         empty = F.array().cast("array<string>")

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabularium import functions as fn
-from tabularium.plans.enrichment import enrich
+from tabularium import operators as op
+from tabularium.plans.enrichment import enrich, page_results
 from tabularium.plans.star_schema import StarSchema
 from tabularium.registered.book import registered
 
@@ -111,26 +112,23 @@ def enrichment(t: StarSchema) -> DataFrame:
     trade = F.when(key % 7 == 0, F.concat(F.lit("Loja, "), key.cast("string"))).otherwise(
         F.concat(F.lit("Loja "), F.floor(key / 3).cast("string"))
     )
-    companies = (
-        t.table("customer")
-        .join(F.broadcast(nation), "c_nationkey")
-        .join(F.broadcast(region), "n_regionkey")
-        .select(
-            key.alias("CNPJ"),
-            trade.alias("NOME FANTASIA"),
-            F.when(key % 10 != 0, F.col("n_name")).alias("MUNICIPIO"),
-            "UF",
-        )
+    placed = op.join_lookups(t.table("customer"), [(nation, "c_nationkey"), (region, "n_regionkey")])
+    companies = placed.select(
+        key.alias("CNPJ"),
+        trade.alias("NOME FANTASIA"),
+        F.when(key % 10 != 0, F.col("n_name")).alias("MUNICIPIO"),
+        "UF",
     )
     queries = companies.select(
         F.col("CNPJ").alias("owner"),
         fn.search_key(F.col("NOME FANTASIA"), F.col("MUNICIPIO"), F.col("UF")).alias("query"),
     )
-    pages = t.table("pages").withColumn("owner", F.col("page_id") * 3 + 2).join(queries, "owner").drop("owner")
+    found = page_results(t.table("pages"), "page_id", ITEM_LIST)
+    found = found.withColumn("owner", F.col("page_id") * 3 + 2).join(queries, "owner")
     # Every customer is listed twice; the copies go before names are compared.
-    found = enrich(companies.unionAll(companies), pages, ["CNPJ"], layout=ITEM_LIST)
+    enriched = enrich(companies.unionAll(companies), found, ["CNPJ"])
 
     def text(name: str):
         return F.array_join(F.transform(name, lambda x: F.coalesce(x, F.lit(""))), "|")
 
-    return found.select("NOME_EMPRESA", "tel", text("link").alias("links"), text("descricao").alias("texts"))
+    return enriched.select("NOME_EMPRESA", "tel", text("link").alias("links"), text("descricao").alias("texts"))

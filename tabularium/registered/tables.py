@@ -51,11 +51,11 @@ select c_custkey from customer where c_nationkey in (
   select n_nationkey from nation join region on n_regionkey = r_regionkey where r_name in ('AFRICA', 'AMERICA'))
 """)
 def lookup_membership(t: StarSchema) -> DataFrame:
-    known = (
-        t.table("nation")
-        .join(F.broadcast(t.table("region").where("r_name in ('AFRICA', 'AMERICA')")), F.expr("n_regionkey = r_regionkey"))
-        .select(F.col("n_nationkey").alias("c_nationkey"))
+    regions = t.table("region").where("r_name in ('AFRICA', 'AMERICA')")
+    nations = t.table("nation").select(
+        F.col("n_nationkey").alias("c_nationkey"), F.col("n_regionkey").alias("r_regionkey")
     )
+    known = op.join_lookup(nations, regions, "r_regionkey").select("c_nationkey")
     twice = known.unionAll(known)
     return op.keep_known(t.table("customer"), twice, "c_nationkey").select("c_custkey")
 

@@ -39,7 +39,8 @@ def test_whole_lookup(spark, tmp_path):
         ],
         "page_id long, query string, html string",
     )
-    got = found(plans.enrich(companies, pages, ["line"]))
+    results = plans.page_results(pages, ["query", "page_id"])
+    got = found(plans.enrich(companies, results, ["line"]))
     assert got == {
         "ALFA": ("11", ["http://a", "http://b", None], ["um", None, "tres"]),
         "BETA": (fn.NO_PHONE, ["http://beta"], ["b & c"]),
@@ -49,7 +50,7 @@ def test_whole_lookup(spark, tmp_path):
     }
 
     out = str(tmp_path / "out")
-    src.write_headed_csv(plans.enrich(companies, pages, ["line"]), out, key="NOME_EMPRESA")
+    src.write_headed_csv(plans.enrich(companies, results, ["line"]), out, key="NOME_EMPRESA")
     back = {r["NOME_EMPRESA"]: r for r in src.read_headed_csv(spark, out).collect()}
     assert json.loads(back["ALFA"]["link"]) == ["http://a", "http://b", None]
     assert back["EPSILON"]["tel"] == fn.NO_PHONE and json.loads(back["EPSILON"]["descricao"]) == []
@@ -58,6 +59,7 @@ def test_whole_lookup(spark, tmp_path):
 def test_pages_are_reduced_before_they_are_shuffled(spark, plan, tmp_path):
     companies = spark.createDataFrame([("1", "A", "B", "PR")], "CNPJ string, `NOME FANTASIA` string, MUNICIPIO string, UF string")
     spark.createDataFrame([(1, "A, B - PR", "<html>")], "page_id long, query string, html string").write.parquet(str(tmp_path / "p"))
-    df = plans.enrich(companies, spark.read.parquet(str(tmp_path / "p")), ["CNPJ"])
+    results = plans.page_results(spark.read.parquet(str(tmp_path / "p")), ["query", "page_id"])
+    df = plans.enrich(companies, results, ["CNPJ"])
     exchanges = [b for b in plan(df).split("\n\n") if "Exchange\n" in b]
     assert exchanges and all("html" not in b for b in exchanges)
