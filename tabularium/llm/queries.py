@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabularium.llm import packing, simhash
+from tabularium.llm import decontamination, langid, packing, pii, simhash
 from tabularium.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,11 +24,44 @@ def query(sql: str | None = None) -> Callable:
     return register
 
 
+@query()
+def op1_rank_order_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return langid.identify(docs, langid.fit(docs, where=langid.training()))
+
+
+@query(
+    r"""
+    with words as (
+      select doc_id, [x for x in regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+') if x <> ''] w from documents),
+    items as (
+      select item_id, [x for x in regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+') if x <> ''] w from benchmark),
+    d as (select doc_id, unnest(w) token, unnest(range(len(w))) pos from words),
+    i as (select item_id, len(w) n, unnest(w) token, unnest(range(len(w))) pos from items where len(w) >= 8),
+    same as (select doc_id, item_id, n, d.pos - i.pos shift, i.pos from d join i using (token)),
+    runs as (
+      select doc_id, item_id, n, count(*) over (
+        partition by doc_id, item_id, shift order by pos range between current row and 14 following) equal
+      from same)
+    select doc_id, item_id, cast(least(n, 15) as int) n_window, cast(max(equal) as int) n_equal
+    from runs group by doc_id, item_id, n having max(equal) >= ceil(least(n, 15) * 0.8 - 1e-9)
+    """
+)
+def op3_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 @query()
 def op4_simhash_vantage_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
 
+@query()
+def op9_weak_supervision_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return pii.find(docs, pii.fit(docs))
+
+
 @query()
 def op10_complement_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack_documents(documents(spark, sf_dir))
