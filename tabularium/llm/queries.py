@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabularium.llm import decontamination, langid, packing, pii, simhash
+from tabularium.llm import chat, decontamination, hilbert, langid, line_frequency, packing, pii, simhash, url_rules
 from tabularium.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,6 +56,85 @@ def op4_simhash_vantage_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
 
+@query()
+def op5_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = hilbert.shard_documents(documents(spark, sf_dir))
+    return placed.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard", "curve")
+
+
+@query(
+    r"""
+    with w as (
+      select doc_id, coalesce(text, '') t, [x for x in regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+') if x <> ''] w,
+        [x for x in string_split(coalesce(text, ''), chr(10)) if regexp_matches(x, '[^\x20\x09-\x0D]')] l
+      from documents),
+    g as (
+      select doc_id, unnest(range(len(w) - 2)) i, unnest([[w[j + 1], w[j + 2], w[j + 3]] for j in range(len(w) - 2)]) g
+      from w where len(w) >= 3),
+    r as (select doc_id, i from g qualify count(*) over (partition by doc_id, g) > 1),
+    c as (select doc_id, count(distinct p) n_repeat_words from (select doc_id, unnest([i, i + 1, i + 2]) p from r) group by 1),
+    lines as (
+      select doc_id, source, unnest([x for x in [
+        trim(y, ' ' || chr(9) || chr(11) || chr(12) || chr(13))
+        for y in string_split(regexp_replace(lower(coalesce(text, '')), '[0-9]+', '0', 'g'), chr(10))] if x <> '']) line
+      from documents),
+    often as (select source, line from lines group by all having count(distinct doc_id) > 20),
+    lost as (
+      select doc_id, sum(length(line)) line_chars,
+        coalesce(sum(length(line)) filter ((source, line) in (select (source, line) from often)), 0) removed_chars
+      from lines group by 1),
+    base as (
+      select doc_id, cast(len(w) as bigint) n_words, cast(length(array_to_string(w, '')) as bigint) word_chars,
+        cast(len(regexp_extract_all(t, '[#*$%&|<>]')) as bigint) n_symbols, cast(len(l) - len(list_distinct(l)) as bigint) n_dup_lines,
+        cast(coalesce(n_repeat_words, 0) as bigint) n_repeat_words
+      from w left join c using (doc_id))
+    select base.*, n_words < 50 or 100 * n_repeat_words > 50 * n_words base_failed,
+      not (n_words < 50 or 100 * n_repeat_words > 50 * n_words) and removed_chars * 2 <= line_chars kept
+    from base left join lost using (doc_id)
+    """
+)
+def op6_line_frequency_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_frequency.judge(documents(spark, sf_dir)).drop("line_chars", "removed_chars")
+
+
+@query(
+    r"""
+    with parts as (
+      select page_id, lower(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1)) host,
+        regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) path
+      from pages),
+    rules(verdict, rule_host, rule_path) as (
+      values ('block', 'net', '/'), ('allow', 'example.net', '/en/'), ('block', 'example.com', '/de/'), ('allow', 'org', '/fr/')),
+    fits as (
+      select page_id, verdict, rule_host || rule_path as fit
+      from parts join rules on (host = rule_host or ends_with(host, '.' || rule_host)) and starts_with(path, rule_path)
+      qualify row_number() over (partition by page_id order by length(fit) desc) = 1)
+    select page_id, host, path, fit as "rule", coalesce(verdict, 'allow') verdict from parts left join fits using (page_id)
+    """
+)
+def op7_url_rule_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.match(spark.read.parquet(f"{sf_dir}/pages.parquet"), url_rules.RULES)
+
+
+@query(
+    r"""
+    with turns as (
+      select conv_id, row_number() over (partition by conv_id order by turn nulls first, role nulls first, text nulls first) - 1 place, role, text
+      from (select distinct conv_id, turn, role, text from conversations where conv_id is not null)),
+    whole as (select conv_id, list({'r': role, 't': text} order by place) l from turns group by 1),
+    kept as (
+      select conv_id from whole a where not exists (
+        select 1 from whole b
+        where b.l[1:len(a.l)] = a.l and (len(b.l) > len(a.l) or len(b.l) = len(a.l) and b.conv_id < a.conv_id)))
+    select conv_id, cast(place // 256 as bigint) segment, cast(count(*) as bigint) n_turns,
+      string_agg('<|' || coalesce(role, 'unknown') || '|>' || chr(10) || coalesce(text, '') || chr(10), '' order by place) as text
+    from turns join kept using (conv_id) group by 1, 2
+    """
+)
+def op8_snapshot_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_conversations(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 @query()
 def op9_weak_supervision_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
