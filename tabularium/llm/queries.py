@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabularium.llm import chat, decontamination, hilbert, langid, line_frequency, packing, pii, simhash, url_rules
+from tabularium.llm import brown, chat, decontamination, hilbert, langid, line_frequency, packing, pii, simhash, url_rules
 from tabularium.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +30,11 @@ def op1_rank_order_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, langid.fit(docs, where=langid.training()))
 
 
+@query()
+def op2_brown_class_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return brown.score(documents(spark, sf_dir))
+
+
 @query(
     r"""
     with words as (
