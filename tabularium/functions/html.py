@@ -13,38 +13,49 @@ from pyspark.sql import functions as F
 NO_PHONE = "NAO DISPONIBILIZADO"
 
 
+# The target of a link, with quotes of either kind or none.
+LINK = r"""(?is)<a\b[^>]*?\shref\s*=\s*["']?((?<=")[^"]*|(?<=')[^']*|(?<!["'])[^\s"'>]+)"""
+
+
 @dataclass(frozen=True)
 class PageLayout:
     """Regular expressions that find the parts of a page; group 1 of each is the part.
 
+    Where ``text_element`` or ``phone_element`` is given, the part is cut where that element, which
+    the expression has opened, is closed again; elements of the same name may be nested in it.
     ``region`` narrows the page to the part that holds the results (the whole page if absent),
     ``block`` yields one match per result, ``link`` and ``text`` are looked up inside a block,
     ``phone`` anywhere in the page.
     """
 
     block: str
-    link: str = r'(?s)<a\b[^>]*?\shref="([^"]*)"'
+    link: str = LINK
     text: str = r"(?s)\A(.*)\z"
-    phone: str = r'href="tel:([^"]+)"'
+    phone: str = r"""(?i)\shref\s*=\s*["']?tel:([^"'\s>]+)"""
     region: str | None = None
+    text_element: str | None = None
+    phone_element: str | None = None
 
 
 # Ids and class names of the search result page. A block runs to the start of the
 # next one, so nested elements stay inside it.
 SEARCH_PAGE = PageLayout(
-    region=r'(?s)\bid="rso"(.*?)(?=\bid="rhs"|\z)',
-    block=r'(?s)<div\b[^>]*\bclass="MjjYud"[^>]*>(.*?)(?=<div\b[^>]*\bclass="MjjYud"|\z)',
-    text=r'(?s)<div\b[^>]*\bclass="VwiC3b yXK7lf MUxGbd yDYNvb lyLwlc lEBKkf"[^>]*>(.*?)</div>',
-    phone=r'(?s)\bid="rhs".*?<span\b[^>]*\bclass="LrzXr zdqRlf kno-fv"[^>]*>(.*?)</span>',
+    region=r"""(?is)\bid\s*=\s*["']rso["'](.*?)(?=\bid\s*=\s*["']rhs["']|\z)""",
+    block=r"""(?is)<div\b[^>]*\bclass\s*=\s*["']MjjYud["'][^>]*>(.*?)(?=<div\b[^>]*\bclass\s*=\s*["']MjjYud["']|\z)""",
+    text=r"""(?is)<div\b[^>]*\bclass\s*=\s*["']VwiC3b yXK7lf MUxGbd yDYNvb lyLwlc lEBKkf["'][^>]*>(.*)""",
+    phone=r"""(?is)\bid\s*=\s*["']rhs["'].*?<span\b[^>]*\bclass\s*=\s*["']LrzXr zdqRlf kno-fv["'][^>]*>(.*)""",
+    text_element="div",
+    phone_element="span",
 )
 
 _MARKUP = r"(?s)<!--.*?-->|<script\b.*?</script>|<style\b.*?</style>|<[^>]*>"
-_ENTITY = r"\A(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
+_ENTITY = r"\A(#0*[0-9]{1,7}|#[xX]0*[0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
 _ALL = 1 << 30
 
 # The names that pages are full of come first: a map is searched from its start.
-_FREQUENT = ["amp", "quot", "lt", "gt", "nbsp"]
-_NAMES = [*_FREQUENT, *sorted(set(name2codepoint) - set(_FREQUENT))]
+_FREQUENT = ["amp", "quot", "lt", "gt", "nbsp", "apos"]
+_POINTS = {**name2codepoint, "apos": ord("'")}
+_NAMES = [*_FREQUENT, *sorted(set(_POINTS) - set(_FREQUENT))]
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -53,18 +64,16 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def _code_point(name: Column) -> Column:
-    digits = F.substring(name, 2, 10)
-    hexed = F.when(F.lower(digits).startswith("x"), F.substring(digits, 2, 10)).otherwise(
-        F.hex(digits.try_cast("bigint"))
-    )
-    point = F.conv(hexed, 16, 10).try_cast("bigint")
+    digits = F.substring(name, 2, _ALL)
+    point = F.when(F.lower(digits).startswith("x"), F.conv(F.substring(digits, 2, _ALL), 16, 10)).otherwise(digits)
+    point = point.try_cast("bigint")
     valid = point.between(1, 0xD7FF) | point.between(0xE000, 0x10FFFF)
-    return F.when(valid, F.decode(F.unhex(F.lpad(hexed, 8, "0")), "UTF-32"))
+    return F.when(valid, F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32"))
 
 
 def _unescape(text: Column) -> Column:
     # `text` is used several times here: pass a column or a lambda's variable, no expression.
-    names = F.create_map(*[F.lit(x) for name in _NAMES for x in (name, chr(name2codepoint[name]))])
+    names = F.create_map(*[F.lit(x) for name in _NAMES for x in (name, chr(_POINTS[name]))])
 
     def decode(piece: Column) -> Column:
         name, rest = piece["name"], piece["rest"]
@@ -98,7 +107,23 @@ def strip_tags(col: Column) -> Column:
     return _let(_markup_removed(col), _unescape)
 
 
-def extract_links(html: Column, pattern: str = r'(?s)<a\b[^>]*?\shref="([^"]*)"') -> Column:
+def _until_closed(markup: Column, element: str | None) -> Column:
+    """``markup`` up to the closing tag of the ``element`` that was opened before it, or whole if it stays open."""
+    if element is None:
+        return markup
+    pieces = F.split(markup, rf"(?i)(?=</?{element}\b)")
+
+    def step(acc: Column, piece: Column) -> Column:
+        lower = F.lower(piece)
+        change = F.when(lower.rlike(rf"\A</{element}\b"), -1).when(lower.rlike(rf"\A<{element}\b"), 1).otherwise(0)
+        depth = F.when(acc["depth"] > 0, acc["depth"] + change).otherwise(acc["depth"])
+        return F.struct(depth.alias("depth"), (acc["n"] + F.when(depth > 0, 1).otherwise(0)).alias("n"))
+
+    start = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("n"))
+    return _let(pieces, lambda p: F.array_join(F.slice(p, F.lit(1), F.aggregate(p, start, step)["n"]), ""))
+
+
+def extract_links(html: Column, pattern: str = LINK) -> Column:
     """All link targets in page order."""
     return F.transform(F.regexp_extract_all(html, F.lit(pattern), 1), _unescape)
 
@@ -121,7 +146,7 @@ def extract_results(html: Column, layout: PageLayout, drop_last: bool = True) ->
         lambda block, pos: F.struct(
             pos.alias("pos"),
             F.regexp_extract(block, layout.link, 1).alias("link"),
-            _markup_removed(F.regexp_extract(block, layout.text, 1)).alias("descricao"),
+            _markup_removed(_until_closed(F.regexp_extract(block, layout.text, 1), layout.text_element)).alias("descricao"),
         ),
     )
 
@@ -133,7 +158,9 @@ def extract_results(html: Column, layout: PageLayout, drop_last: bool = True) ->
     return F.transform(F.transform(found, each_part(_unescape)), each_part(_blank_to_null))
 
 
-def extract_phone(html: Column, pattern: str = PageLayout.phone, default: str = NO_PHONE) -> Column:
-    """First phone of the page, or ``default``."""
-    phone = strip_tags(F.regexp_extract(html, pattern, 1))
+def extract_phone(
+    html: Column, pattern: str = PageLayout.phone, default: str = NO_PHONE, element: str | None = None
+) -> Column:
+    """First phone of the page, or ``default``. ``element`` is what ``pattern`` has opened, as in :class:`PageLayout`."""
+    phone = strip_tags(_until_closed(F.regexp_extract(html, pattern, 1), element))
     return F.coalesce(_let(phone, _blank_to_null), F.lit(default))

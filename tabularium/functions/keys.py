@@ -11,14 +11,27 @@ from pyspark.sql import functions as F
 KEY_WIDTHS = (8, 4, 2)
 
 
-def pad_key(col: Column, width: int) -> Column:
-    """Numeric key as text with leading zeros. A longer key is cut to its first ``width`` digits."""
-    return F.lpad(col.cast("string"), width, "0")
-
-
-def compose_key(parts: Sequence[Column], widths: Sequence[int] = KEY_WIDTHS) -> Column:
-    """Padded parts put together; null as soon as one part is null."""
-    return F.concat(*[pad_key(part, width) for part, width in zip(parts, widths, strict=True)])
+def pad_key(col: Column, width: int, overflow: str = "null") -> Column:
+    """Numeric key as text with leading zeros.
+
+    A key of more than ``width`` digits becomes null, so it can be counted and never passes for
+    another one; ``overflow="keep"`` leaves it whole, ``"cut"`` takes its first ``width`` digits.
+    """
+    if overflow not in ("null", "keep", "cut"):
+        raise ValueError(f"overflow={overflow!r} is not supported")
+    text = col.cast("string")
+    padded = F.lpad(text, width, "0")
+    if overflow == "cut":
+        return padded
+    longer = F.length(text) > width
+    return F.when(longer, text).otherwise(padded) if overflow == "keep" else F.when(~longer, padded)
+
+
+def compose_key(
+    parts: Sequence[Column], widths: Sequence[int] = KEY_WIDTHS, overflow: str = "null"
+) -> Column:
+    """Padded parts put together; null as soon as one part is null, or too long unless ``overflow`` says otherwise."""
+    return F.concat(*[pad_key(part, width, overflow) for part, width in zip(parts, widths, strict=True)])
 
 
 def activity_label(code: Column, description: Column) -> Column:

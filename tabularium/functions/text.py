@@ -77,13 +77,14 @@ QUALIFICATION_RULES = [
     Repair("Comanditrio", "COMANDITARIO"),
     Repair("jurdica", "JURIDICA"),
     Repair("Administrao", "Administracao"),
+    Repair("Secretrio", "Secretario"),
 ]
 COUNTRY_RULES = [Repair("COLIS POSTAUX", "BRASIL")]
 
 
 def strip_undecodable(col: Column) -> Column:
     """Drop the mark that a wrong decoding leaves where a letter was."""
-    return F.translate(col, REPLACEMENT_CHAR, "")
+    return F.replace(col, F.lit(REPLACEMENT_CHAR), F.lit(""))
 
 
 def _apply(col: Column, rule: Repair) -> Column:

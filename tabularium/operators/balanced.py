@@ -6,10 +6,11 @@ key are dealt out along the table's own axis and repeated along the other axes,
 combination of rows meets in exactly one grid cell. All other keys have a grid of one cell and
 join as usual. The joins of all tables then run on (key, cell) and share one partitioning.
 
-Which keys are large is found first, by one job that counts the key column (aggregated before its
-shuffle). Without large keys the plan is that of the plain joins. A table's axis gets
-``ceil(rows / rows_per_task)`` cells, so a cell holds about ``rows_per_task`` rows of each table,
-and the repeated rows number at most one per ``rows_per_task`` result rows.
+Which keys are large is found first, by one job that counts the key columns (aggregated before its
+shuffle). A key is large if its rows, or the result rows it makes (the product of its counts),
+are more than ``rows_per_task``. Without large keys the plan is that of the plain joins. Cells are
+chosen so that one makes at most about ``rows_per_task`` result rows: tables with few rows of the key
+are not cut, the others into cells of equal numbers of rows.
 """
 
 from __future__ import annotations
@@ -38,33 +39,65 @@ def _hit(i: int) -> str:
     return f"__hit{i}"
 
 
+def _key_counts(frames: Sequence[DataFrame], keys: list[str], first_nulls: bool) -> DataFrame:
+    """Rows per key and table, at least 1 each, and ``__made``: the result rows, as a double."""
+    counted = [df if first_nulls and i == 0 else drop_missing(df, keys) for i, df in enumerate(frames)]
+    sides = [df.select(*cols(keys), F.lit(i).alias("__side")) for i, df in enumerate(counted)]
+    totals = [F.greatest(F.count_if(F.col("__side") == i), F.lit(1)).alias(_split(i)) for i in range(len(frames))]
+    counts = reduce(DataFrame.unionByName, sides).groupBy(*cols(keys)).agg(*totals)
+    made = reduce(lambda a, b: a * b, [F.col(_split(i)).cast("double") for i in range(len(frames))])
+    return counts.withColumn("__made", made)
+
+
+def _with_cells(counts: DataFrame, keys: list[str], n: int, rows_per_task: float) -> DataFrame:
+    """The cells of each table for the keys that make more than ``rows_per_task`` rows.
+
+    With m tables to cut, an edge of ``rows_per_task ** (1 / m)`` rows in each keeps a cell's product
+    at ``rows_per_task``. Tables below that edge stay whole, and the others share what they leave.
+    """
+    sizes = [F.col(_split(i)).cast("double") for i in range(n)]
+    several = reduce(lambda a, b: a + b, [F.when(c > 1, 1.0).otherwise(0.0) for c in sizes])
+    first = F.pow(F.lit(float(rows_per_task)), 1.0 / F.greatest(several, F.lit(1.0)))
+    edged = counts.where(F.col("__made") > rows_per_task).withColumn("__edge", first)
+    whole = reduce(lambda a, b: a * b, [F.when(c <= F.col("__edge"), c).otherwise(1.0) for c in sizes])
+    cut = reduce(lambda a, b: a + b, [F.when(c > F.col("__edge"), 1.0).otherwise(0.0) for c in sizes])
+    edge = F.greatest(F.pow(F.lit(float(rows_per_task)) / whole, 1.0 / F.greatest(cut, F.lit(1.0))), F.lit(1.0))
+    shared = edged.withColumn("__shared", edge)
+    cells = [
+        F.when(c <= F.col("__edge"), 1).otherwise(F.ceil(c / F.col("__shared"))).cast("bigint").alias(_split(i))
+        for i, c in enumerate(sizes)
+    ]
+    return shared.select(*cols(keys), *cells)
+
+
 def hot_keys(
     frames: Sequence[DataFrame],
     key: str | Iterable[str],
     rows_per_task: int = ROWS_PER_TASK,
-    max_keys: int = MAX_HOT_KEYS,
     first_nulls: bool = False,
 ) -> DataFrame:
-    """Keys with more than ``rows_per_task`` rows in one of ``frames``, and the cells per table.
+    """Keys that make more than ``rows_per_task`` result rows, or have as many in a table, and the cells per table.
 
-    At most the ``max_keys`` largest are returned, which bounds what the join broadcasts. Keys
-    beyond that are joined without being spread, so the limit never changes a result. Null keys
-    match nothing and are left out, but those of the first frame count with ``first_nulls``.
+    Null keys match nothing and are left out, but those of the first frame count with ``first_nulls``.
     """
     keys = as_list(key)
-    counted = [df if first_nulls and i == 0 else drop_missing(df, keys) for i, df in enumerate(frames)]
-    sides = [df.select(*cols(keys), F.lit(i).alias("__side")) for i, df in enumerate(counted)]
-    totals = [F.count_if(F.col("__side") == i).alias(_split(i)) for i in range(len(frames))]
-    counts = reduce(DataFrame.unionByName, sides).groupBy(*cols(keys)).agg(*totals)
-    names = [_split(i) for i in range(len(frames))]
-    largest = F.greatest(*names) if len(names) > 1 else F.col(names[0])
-    cells = [F.greatest(F.ceil(F.col(n) / rows_per_task), F.lit(1)).cast("bigint").alias(n) for n in names]
-    return (
-        counts.where(largest > rows_per_task)
-        .orderBy(largest.desc(), *cols(keys))
-        .limit(max_keys)
-        .select(*cols(keys), *cells)
-    )
+    return _with_cells(_key_counts(frames, keys, first_nulls), keys, len(frames), rows_per_task)
+
+
+def _found_keys(frames: Sequence[DataFrame], keys: list[str], rows_per_task: int, first_nulls: bool) -> tuple:
+    """The large keys as a local table of bounded size, and its schema.
+
+    With more than ``MAX_HOT_KEYS`` of them the bound is raised to that share of all rows they make: keys
+    below it are too small a part of the whole to hold up the join, and fewer than that lie above.
+    """
+    counts = _key_counts(frames, keys, first_nulls)
+    large = F.col("__made") > rows_per_task
+    seen = counts.agg(F.count_if(large).alias("keys"), F.sum(F.when(large, F.col("__made"))).alias("rows")).first()
+    if not seen["keys"]:
+        return None, None
+    bound = rows_per_task if seen["keys"] <= MAX_HOT_KEYS else max(rows_per_task, seen["rows"] / MAX_HOT_KEYS)
+    cells = _with_cells(counts, keys, len(frames), bound)
+    return cells.toArrow(), cells.schema
 
 
 def _hashable(df: DataFrame, keys: Sequence[str]) -> list[str]:
@@ -116,7 +149,6 @@ def balanced_join(
     how: str = "inner",
     spread: Sequence[Iterable[str] | None] | None = None,
     rows_per_task: int | None = ROWS_PER_TASK,
-    max_hot_keys: int = MAX_HOT_KEYS,
 ) -> DataFrame:
     """Join ``frames`` from left to right on ``key``; the result is that of the plain joins.
 
@@ -135,17 +167,19 @@ def balanced_join(
     outer = how in ("left", "left_anti")
     found = None
     if rows_per_task is not None:
-        counted = hot_keys(frames, keys, rows_per_task, max_hot_keys, first_nulls=outer)
-        found = counted.toArrow()
+        found, schema = _found_keys(frames, keys, rows_per_task, outer)
     if found is None or found.num_rows == 0:
         return reduce(lambda left, right: left.join(right, keys, how), frames)
 
     n = len(frames)
     names = list(spread) if spread is not None else [None] * n
     # A literal table: every side of the join sees the same large keys, whatever is run again.
-    hot = frames[0].sparkSession.createDataFrame(found, counted.schema)
+    hot = frames[0].sparkSession.createDataFrame(found, schema)
     frames = [df if outer and i == 0 else drop_missing(df, keys) for i, df in enumerate(frames)]
     placed = [_place(df, i, n, keys, hot, names[i], outer) for i, df in enumerate(frames)]
+    # Adaptive execution merges partitions that are small on input, whatever they fan out to; it leaves a given number alone.
+    tasks = int(hot.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = [df.repartition(tasks, *cols([*keys, _CELL])) for df in placed]
 
     joined = placed[0]
     for i, right in enumerate(placed[1:], start=1):

@@ -7,7 +7,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabularium.operators.balanced import MAX_HOT_KEYS, ROWS_PER_TASK, balanced_join
+from tabularium.operators.balanced import ROWS_PER_TASK, balanced_join
 from tabularium.operators.names import as_list, col, cols
 
 
@@ -19,7 +19,6 @@ def consolidate(
     how: str = "inner",
     spread: Sequence[Iterable[str] | None] | None = None,
     rows_per_task: int | None = ROWS_PER_TASK,
-    max_hot_keys: int = MAX_HOT_KEYS,
 ) -> DataFrame:
     """One row per establishment and partner of a company.
 
@@ -28,9 +27,7 @@ def consolidate(
     are spread over tasks, see :func:`balanced_join`. ``how="left"`` keeps establishments without
     a company or partners.
     """
-    return balanced_join(
-        [establishments, companies, partners], key, how, spread, rows_per_task, max_hot_keys
-    )
+    return balanced_join([establishments, companies, partners], key, how, spread, rows_per_task)
 
 
 def consolidation_profile(

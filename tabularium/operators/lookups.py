@@ -34,10 +34,12 @@ def measured_bytes(*frames: DataFrame) -> list[int]:
     return [row["bytes"] for row in sorted(sizes.collect())]
 
 
-def _join(fact: DataFrame, dim: DataFrame, keys: list[str], how: str, fits: bool) -> DataFrame:
+def _join(
+    fact: DataFrame, dim: DataFrame, keys: list[str], how: str, fits: bool, spread: Iterable[str] | None = None
+) -> DataFrame:
     if fits:
         return fact.join(F.broadcast(dim), keys, how)
-    return balanced_join([fact, dim], keys, how)
+    return balanced_join([fact, dim], keys, how, spread=[spread, None] if spread is not None else None)
 
 
 def join_lookups(
@@ -45,15 +47,17 @@ def join_lookups(
     lookups: Sequence[tuple[DataFrame, str | Iterable[str]]],
     how: str = "inner",
     max_bytes: int = MAX_BROADCAST_BYTES,
+    spread: Iterable[str] | None = None,
 ) -> DataFrame:
     """Add the columns of each ``(lookup, key)``; with ``inner``, rows with an unknown or null code go.
 
     The lookups are measured first, in one job. Those up to ``max_bytes`` are broadcast, so a code
     that most rows share costs nothing; a larger one is joined by a shuffle that spreads such codes.
+    ``spread`` names columns of ``fact`` that tell its rows apart (all atomic ones if None).
     """
     sizes = measured_bytes(*[dim for dim, _ in lookups])
     for (dim, key), size in zip(lookups, sizes, strict=True):
-        fact = _join(fact, dim, as_list(key), how, size <= max_bytes)
+        fact = _join(fact, dim, as_list(key), how, size <= max_bytes, spread)
     return fact
 
 

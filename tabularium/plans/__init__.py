@@ -1,6 +1,6 @@
 """The composed datasets."""
 
-from tabularium.plans.enrichment import enrich, page_results
+from tabularium.plans.enrichment import enrich, enrich_files, page_results, unsearchable
 from tabularium.plans.registry import (
     ADDRESS_COLUMNS,
     activities,
@@ -13,5 +13,5 @@ from tabularium.plans.registry import (
     qualifications,
     regime,
 )
-from tabularium.plans.job import RegistryFiles, consolidate_files, read_registry
+from tabularium.plans.job import RegistryFiles, consolidate_files, job_counts, read_regime, read_registry
 from tabularium.plans.state import state_extract

@@ -4,15 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tabularium.operators.balanced import ROWS_PER_TASK
-from tabularium.operators.consolidate import consolidate
+from tabularium.operators.consolidate import consolidate, consolidation_profile
+from tabularium.operators.lookups import lookup_misses
+from tabularium.operators.names import col
 from tabularium.plans import registry
-from tabularium.session import scratch_path
+from tabularium.session import remove_path, scratch_path
 from tabularium.sources import schemas
-from tabularium.sources.delimited import read_delimited, read_lookup
+from tabularium.sources.delimited import read_delimited, read_lookup, reject_counts
 from tabularium.sources.partitioned import OVERWRITE_PARTITIONS, write_partitioned
 
 COMPANY_KEY = "CNPJ BASICO"
@@ -23,7 +27,11 @@ SPREAD = [["CNPJ"], ["RAZAO SOCIAL"], ["NOME SOCIO", "CNPJ/CPF DO SOCIO"]]
 
 @dataclass(frozen=True)
 class RegistryFiles:
-    """Where the raw files are. Fact tables are lists of files, lookups one file each."""
+    """Where the raw files are. Fact tables are lists of files, lookups one file each.
+
+    ``header`` and ``escape`` hold for all files but the header of activities; dumps that double the
+    quotes inside a field need ``escape='"'``.
+    """
 
     establishments: Sequence[str]
     companies: Sequence[str]
@@ -36,38 +44,66 @@ class RegistryFiles:
     encoding: str = "ISO-8859-1"
     activities_encoding: str = "UTF-8"
     activities_header: bool = False
+    header: bool = False
+    escape: str = "\\"
+    regime: Sequence[str] = ()
 
 
 def read_registry(spark: SparkSession, files: RegistryFiles) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Clean establishments, companies and partners."""
+    """Clean establishments, companies and partners. Runs one job per table to measure its lookups."""
+    tables = _raw(spark, files)
+    establishments = registry.establishments(*(tables[n] for n in ("establishments", "countries", "cities", "activities")))
+    companies = registry.companies(*(tables[n] for n in ("companies", "qualifications", "legal_natures")))
+    return establishments, companies, registry.partners(tables["partners"], tables["qualifications"])
+
+
+def read_regime(spark: SparkSession, files: RegistryFiles) -> DataFrame:
+    """The clean table of the simplified tax regime."""
+    return registry.regime(_fact(spark, files, files.regime, schemas.REGIME))
+
 
-    def fact(paths: Sequence[str], schema: str) -> DataFrame:
-        return read_delimited(spark, paths, schema, encoding=files.encoding)
+def _fact(spark: SparkSession, files: RegistryFiles, paths: Sequence[str], schema: str, rejects: bool = False) -> DataFrame:
+    return read_delimited(spark, paths, schema, encoding=files.encoding, header=files.header, escape=files.escape, rejects=rejects)
 
+
+def _raw(spark: SparkSession, files: RegistryFiles) -> dict[str, DataFrame]:
     def lookup(path: str, schema: str) -> DataFrame:
-        return read_lookup(spark, path, schema, encoding=files.encoding)
-
-    qualification_lookup = lookup(files.qualifications, schemas.QUALIFICATIONS)
-    establishments = registry.establishments(
-        fact(files.establishments, schemas.ESTABLISHMENTS),
-        lookup(files.countries, schemas.COUNTRIES),
-        lookup(files.cities, schemas.CITIES),
-        read_lookup(
-            spark,
-            files.activities,
-            schemas.ACTIVITIES,
-            sep=",",
-            encoding=files.activities_encoding,
-            header=files.activities_header,
+        return read_lookup(spark, path, schema, encoding=files.encoding, header=files.header, escape=files.escape)
+
+    return {
+        "establishments": _fact(spark, files, files.establishments, schemas.ESTABLISHMENTS),
+        "companies": _fact(spark, files, files.companies, schemas.COMPANIES),
+        "partners": _fact(spark, files, files.partners, schemas.PARTNERS),
+        "qualifications": lookup(files.qualifications, schemas.QUALIFICATIONS),
+        "legal_natures": lookup(files.legal_natures, schemas.LEGAL_NATURES),
+        "countries": lookup(files.countries, schemas.COUNTRIES),
+        "cities": lookup(files.cities, schemas.CITIES),
+        "activities": read_lookup(
+            spark, files.activities, schemas.ACTIVITIES, sep=",", encoding=files.activities_encoding,
+            header=files.activities_header, escape=files.escape,
         ),
-    )
-    companies = registry.companies(
-        fact(files.companies, schemas.COMPANIES),
-        qualification_lookup,
-        lookup(files.legal_natures, schemas.LEGAL_NATURES),
-    )
-    partners = registry.partners(fact(files.partners, schemas.PARTNERS), qualification_lookup)
-    return establishments, companies, partners
+    }
+
+
+def job_counts(spark: SparkSession, files: RegistryFiles) -> DataFrame:
+    """``what, code, n_rows``: lines that do not fit their layout, and rows that a lookup drops, by its missing code.
+
+    Rows are counted as they are read, before the other clean-up. Nothing is gathered but counts.
+    """
+    tables = _raw(spark, files)
+    parts = []
+    for name, schema in (("establishments", schemas.ESTABLISHMENTS), ("companies", schemas.COMPANIES), ("partners", schemas.PARTNERS)):
+        rejected = reject_counts(_fact(spark, files, getattr(files, name), schema, rejects=True))
+        parts.append(rejected.select(F.lit(f"{name}: rejected").alias("what"), F.col("file").alias("code"), F.col("n_rejected").alias("n_rows")))
+    used = (
+        ("establishments", "cities", "CODIGO_MUNICIPIO"), ("establishments", "countries", "CODIGO_PAIS"),
+        ("establishments", "activities", "CNAE PRINCIPAL"), ("companies", "qualifications", "COD QUALIFICACAO SOCIO"),
+        ("companies", "legal_natures", "COD NATUREZA JURIDICA"), ("partners", "qualifications", "COD QUALIFICACAO SOCIO"),
+    )
+    for fact, name, key in used:
+        missed = lookup_misses(tables[fact], tables[name], key)
+        parts.append(missed.select(F.lit(f"{fact}: not in {name}").alias("what"), col(key).cast("string").alias("code"), "n_rows"))
+    return reduce(DataFrame.unionByName, parts).where("n_rows > 0")
 
 
 def staged(df: DataFrame, folder: str) -> DataFrame:
@@ -87,16 +123,20 @@ def consolidate_files(
     """Read, clean, merge and write by state and city. Running it again leaves the same table.
 
     The merge looks at its keys before it joins. With ``stage`` the clean tables are written to the
-    shared scratch folder first, so the text files are parsed once, the look at the keys reads one
-    Parquet column, and an executor lost in the merge costs no new parsing. The staged tables are
-    left there for the owner of that folder to clear.
+    shared scratch folder first, so the text files are parsed once, counting reads a few Parquet
+    columns, and an executor lost in the merge costs no new parsing. The staged tables are removed
+    at the end. Rows per folder are counted from the tables' keys, without building the merge.
+    :func:`job_counts` tells what was rejected and dropped.
     """
     frames = read_registry(spark, files)
-    if stage:
-        root = scratch_path(spark, "registry-stage")
-        names = ("establishments", "companies", "partners")
-        frames = tuple(staged(df, f"{root}/{name}") for name, df in zip(names, frames, strict=True))
-    merged = consolidate(*frames, COMPANY_KEY, spread=SPREAD, rows_per_task=rows_per_task)
-    # A city name belongs to one state or a few, so there are about as many folders as cities.
-    leaves = read_lookup(spark, files.cities, schemas.CITIES, encoding=files.encoding).count()
-    write_partitioned(merged, target, PARTITION_COLUMNS, mode, leaves=leaves)
+    root = scratch_path(spark, "registry-stage") if stage else None
+    try:
+        if root:
+            names = ("establishments", "companies", "partners")
+            frames = tuple(staged(df, f"{root}/{name}") for name, df in zip(names, frames, strict=True))
+        merged = consolidate(*frames, COMPANY_KEY, spread=SPREAD, rows_per_task=rows_per_task)
+        leaf_rows = consolidation_profile(*frames, COMPANY_KEY, PARTITION_COLUMNS, "CNPJ")
+        write_partitioned(merged, target, PARTITION_COLUMNS, mode, leaf_rows=leaf_rows)
+    finally:
+        if root:
+            remove_path(spark, root)

@@ -12,13 +12,14 @@ from tabularium.plans.star_schema import StarSchema
 from tabularium.registered.book import registered
 
 
-@registered("select c_custkey, lpad(cast(c_custkey as varchar), 8, '0') k8 from customer")
+@registered("select c_custkey, case when length(cast(c_custkey as varchar)) <= 8 then lpad(cast(c_custkey as varchar), 8, '0') end k8 from customer")
 def key_lpad(t: StarSchema) -> DataFrame:
     return t.table("customer").select("c_custkey", fn.pad_key(F.col("c_custkey"), 8).alias("k8"))
 
 
 @registered("""
-select lpad(cast(l_orderkey as varchar), 8, '0') || lpad(cast(l_partkey as varchar), 4, '0')
+select lpad(cast(l_orderkey as varchar), 8, '0')
+         || case when length(cast(l_partkey as varchar)) <= 4 then lpad(cast(l_partkey as varchar), 4, '0') end
        || lpad(cast(l_linenumber as varchar), 2, '0') k14
 from lineitem
 """)

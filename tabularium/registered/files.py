@@ -77,12 +77,12 @@ def activity_lookup(t: StarSchema) -> DataFrame:
 
 
 @registered("""
-select cast(p_partkey as varchar) p_partkey, cast(p_size as varchar) p_size, p_name || ' "x", y' p_name
+select cast(p_partkey as varchar) p_partkey, cast(p_size as varchar) p_size, p_name || chr(10) || '"x", y' p_name
 from part
 """)
 def headed_csv(t: StarSchema) -> DataFrame:
     path = scratch_path(t.spark, "headed")
-    part = t.table("part").select("p_size", F.concat("p_name", F.lit(' "x", y')).alias("p_name"), "p_partkey")
+    part = t.table("part").select("p_size", F.concat("p_name", F.lit('\n"x", y')).alias("p_name"), "p_partkey")
     src.write_headed_csv(part, path, key="p_partkey")
     return src.read_headed_csv(t.spark, path).select("p_partkey", "p_size", "p_name")
 
@@ -100,7 +100,10 @@ def csv_sink(t: StarSchema) -> DataFrame:
     return src.read_headed_csv(t.spark, path)
 
 
-_INVENTORY = ["customer", "orders", "lineitem", "events", "documents", "pages"]
+_INVENTORY = [
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages",
+    "benchmark", "labels", "conversations",
+]
 
 
 @registered(" union all ".join(f"select '{n}' \"table\", count(*) n_rows from {n}" for n in _INVENTORY))
@@ -111,11 +114,6 @@ def file_inventory(t: StarSchema) -> DataFrame:
     return files.where("bytes > 0").groupBy(name.alias("table")).agg(F.sum("n_rows").alias("n_rows"))
 
 
-@registered()
-def listed_files(t: StarSchema) -> DataFrame:
-    return src.list_files(t.spark, t.folder, "*.parquet").select("file", "bytes")
-
-
 @registered("""
 select n_name city, count(*) n
 from customer join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey
@@ -130,7 +128,7 @@ def partition_roundtrip(t: StarSchema) -> DataFrame:
     region = t.table("region").select(F.col("r_regionkey").alias("n_regionkey"), F.col("r_name").alias("state"))
     placed = op.join_lookups(t.table("customer"), [(nation, "c_nationkey"), (region, "n_regionkey")])
     for _ in range(2):
-        src.write_partitioned(placed, path, ["state", "city"], leaves=25)
+        src.write_partitioned(placed, path, ["state", "city"])
     return op.row_counts(src.read_partition(t.spark, path, state="ASIA"), "city").toDF("city", "n")
 
 

@@ -93,7 +93,7 @@ with c as ({_COMPANIES}),
      n as (select q, "name" from (
              select q, split_part(q, ',', 1) "name",
                     row_number() over (partition by split_part(q, ',', 1) order by c_custkey desc) rn from k)
-           where rn = 1),
+           where rn = 1 and q is not null),
      p as (select q, html from (
              select q, html, row_number() over (partition by q order by page_id desc) rn
              from pages join k on c_custkey = page_id * 3 + 2 where q is not null) where rn = 1),

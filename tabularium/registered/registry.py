@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tabularium import operators as op
 from tabularium.operators.names import cols
-from tabularium.plans.job import COMPANY_KEY, PARTITION_COLUMNS, SPREAD
+from tabularium.plans.job import COMPANY_KEY, PARTITION_COLUMNS, SPREAD, staged
 from tabularium.plans.registry import COMPANY_COLUMNS, ESTABLISHMENT_COLUMNS, PARTNER_COLUMNS
 from tabularium.plans.star_schema import StarSchema
 from tabularium.plans.state import state_extract
@@ -70,7 +70,7 @@ par as (
          case when event_id % 9 = 1 then date '1900-01-01'
               when event_id % 9 > 2 then cast(ts as date) end "DT ENTRADA NA SOCIEDADE",
          case event_id % 55 % 10 when 0 then 'SOCIO-ADMINISTRADOR' when 1 then 'NAO INFORMADO'
-              when 2 then 'NAO INFORMADO' when 3 then 'SOCIO PESSOA FISICA' when 4 then 'SECRETRIO'
+              when 2 then 'NAO INFORMADO' when 3 then 'SOCIO PESSOA FISICA' when 4 then 'SECRETARIO'
               else 'DIRETOR ' || (event_id % 55) end "QUALIFICACAO DO SOCIO",
          case event_type when 'purchase' then 'PESSOA JURIDICA' when 'signup' then 'PESSOA FISICA'
               when 'error' then 'ESTRANGEIRO' end "TIPO SOCIO",
@@ -132,7 +132,11 @@ select "CNPJ", "RAZAO SOCIAL", "NOME SOCIO", "UF", "MUNICIPIO" from (
 def registry_state_extract(t: StarSchema) -> DataFrame:
     """Write the consolidation by state and city, read one state back, keep a row per establishment."""
     root = scratch_path(t.spark, "registry")
-    write_partitioned(_merged(t), root, PARTITION_COLUMNS, leaves=125)
+    names = ("establishments", "companies", "partners")
+    frames = [staged(df, f"{root}-{name}") for name, df in zip(names, (t.establishments, t.companies, t.partners), strict=True)]
+    merged = op.consolidate(*frames, COMPANY_KEY, spread=SPREAD)
+    leaf_rows = op.consolidation_profile(*frames, COMPANY_KEY, PARTITION_COLUMNS, "CNPJ")
+    write_partitioned(merged, root, PARTITION_COLUMNS, leaf_rows=leaf_rows)
     extract = state_extract(t.spark, root, "PR", ["NOME SOCIO", "CNPJ/CPF DO SOCIO", "CEP"])
     return extract.select("CNPJ", "RAZAO SOCIAL", "NOME SOCIO", "UF", "MUNICIPIO")
 

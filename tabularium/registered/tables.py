@@ -91,7 +91,7 @@ def _companies(t: StarSchema, *names: str) -> DataFrame:
 
 
 def consolidation_inputs(t: StarSchema) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Finished orders as establishments, customers as companies, signups and purchases as partners."""
+    """Finished orders as establishments, customers as companies, events as partners; kinds without a label get none."""
     order, owner = F.col("o_orderkey"), F.col("o_custkey")
     est = op.active_only(t.table("orders"), "o_orderstatus", "F").select(
         fn.pad_key(owner, 8).alias("key8"),
@@ -101,8 +101,7 @@ def consolidation_inputs(t: StarSchema) -> tuple[DataFrame, DataFrame, DataFrame
     com = _companies(t, "c_custkey", "c_name").select(
         fn.pad_key(F.col("c_custkey"), 8).alias("key8"), F.col("c_name").alias("company"), "city", "state"
     )
-    par = t.table("events").where(F.col("event_type").isin("signup", "purchase"))
-    par = par.select(
+    par = t.table("events").select(
         fn.pad_key(F.col("user_id"), 8).alias("key8"),
         fn.label_code(F.col("event_type"), {"signup": "PF", "purchase": "PJ"}).alias("kind"),
         F.col("ts").cast("date").alias("since"),
@@ -120,7 +119,7 @@ with est as (select lpad(cast(o_custkey as varchar), 8, '0') key8,
        join region on n_regionkey = r_regionkey),
      par as (select lpad(cast(user_id as varchar), 8, '0') key8,
        case event_type when 'signup' then 'PF' when 'purchase' then 'PJ' end kind,
-       cast(ts as date) since from events where event_type in ('signup', 'purchase'))
+       cast(ts as date) since from events)
 """
 _INNER = " from est join com using (key8) join par using (key8)"
 _COLUMNS = 'select key14, key8, "start", company, city, state, kind, since'

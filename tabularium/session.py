@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Mapping
 
@@ -29,29 +28,32 @@ def build_session(app_name: str, conf: Mapping[str, str] | None = None, hive: bo
 
 
 def new_session(app_name: str, conf: Mapping[str, str] | None = None) -> SparkSession:
-    """A session with its own settings and temporary views on the running application, or a first one."""
-    active = SparkSession.getActiveSession()
-    return build_session(app_name, conf) if active is None else active.newSession()
-
-
-def active_session() -> SparkSession | None:
-    return SparkSession.getActiveSession()
+    """A session with its own settings and temporary views on the running application, or a first one.
 
-
-def close_session(spark: SparkSession) -> None:
-    spark.stop()
+    ``conf`` and the defaults are set on it; of a running application's settings only those that can
+    be changed at run time.
+    """
+    active = SparkSession.getActiveSession()
+    if active is None:
+        return build_session(app_name, conf)
+    session = active.newSession()
+    for name, value in {**DEFAULT_CONF, **(conf or {})}.items():
+        if session.conf.isModifiable(name):
+            session.conf.set(name, value)
+    return session
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder name below the cluster's shared checkpoint folder.
+    """A fresh folder name below the shared checkpoint folder.
 
-    ``spark.checkpoint.dir`` is read from the session. A local session without it gets a
-    temporary folder; on a cluster the setting is required, because executors on other
-    machines could not read a machine-local folder.
+    ``spark.checkpoint.dir`` is read from the session; where it is unset the folder lies in the
+    warehouse, which executors share as well. Never a machine-local temporary folder.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="tabularium-")
+    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of scratch data."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

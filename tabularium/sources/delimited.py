@@ -54,9 +54,10 @@ def read_lookup(
     sep: str = ";",
     encoding: str = "ISO-8859-1",
     header: bool = False,
+    escape: str = "\\",
 ) -> DataFrame:
     """A code table. Rows without a code match nothing and are left out."""
-    lookup = read_delimited(spark, path, schema, sep, encoding, header)
+    lookup = read_delimited(spark, path, schema, sep, encoding, header, escape)
     return drop_missing(lookup, lookup.columns[0])
 
 
@@ -76,11 +77,12 @@ def read_headed_csv(
     paths: str | Iterable[str],
     sep: str = ",",
     encoding: str = "UTF-8",
-    multi_line: bool = False,
+    multi_line: bool = True,
 ) -> DataFrame:
     """Files with a header; every column is text.
 
-    ``multi_line`` allows line breaks inside quoted fields; a file is then read by one task.
+    Line breaks inside quoted fields are part of the value, so a file is read by one task; give
+    ``multi_line=False`` to split large files that are known to have none.
     """
     reader = spark.read.option("header", True).option("sep", sep).option("encoding", encoding)
     return reader.option("escape", '"').option("multiLine", multi_line).csv(as_list(paths))

@@ -7,38 +7,31 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tabularium.operators.names import as_list, col, cols
+from tabularium.operators.names import as_list, col
+from tabularium.sources.layout import ROWS_PER_FILE, split_leaves
 
 OVERWRITE_PARTITIONS = "overwrite_partitions"
 
 
-def _rebalanced(df: DataFrame, columns: list[str], leaves: int | None) -> DataFrame:
-    # Rows of one leaf meet in as few tasks as their size allows: small shuffle partitions are put
-    # together, and one beyond the advisory size is split over several tasks. Each of those tasks
-    # writes a file per leaf it has rows of, so on large data leaves should rarely share a
-    # partition: four partitions per leaf.
-    number = [] if leaves is None else [max(4 * leaves, 1)]
-    return df.hint("rebalance", *number, *cols(columns))
-
-
 def write_partitioned(
     df: DataFrame,
     path: str,
     columns: str | Iterable[str],
     mode: str = OVERWRITE_PARTITIONS,
     max_records_per_file: int = 0,
-    leaves: int | None = None,
+    rows_per_file: int = ROWS_PER_FILE,
+    leaf_rows: DataFrame | None = None,
 ) -> None:
-    """Write Parquet with one folder per value of ``columns``.
+    """Write Parquet with one folder per value of ``columns``, and files of about ``rows_per_file`` rows.
 
-    ``leaves`` is about how many folders there will be; without it the session's number of shuffle
-    partitions has to be well above that for large tables, or folders get many small files.
+    A folder with more rows is written by several tasks, any other one by one task. The rows of
+    each folder are counted first; give ``leaf_rows`` (``columns`` and ``n_rows``) if they are known.
 
     ``overwrite_partitions`` replaces the folders that ``df`` has rows for and leaves the others,
     so running a job twice is the same as running it once. ``append`` adds to what is there.
     """
     names = as_list(columns)
-    writer = _rebalanced(df, names, leaves).write.partitionBy(*names).option("maxRecordsPerFile", max_records_per_file)
+    writer = split_leaves(df, names, rows_per_file, leaf_rows).write.partitionBy(*names).option("maxRecordsPerFile", max_records_per_file)
     if mode == OVERWRITE_PARTITIONS:
         writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     else:
@@ -68,14 +61,15 @@ def save_table(
     mode: str = "error",
     fmt: str = "parquet",
     path: str | None = None,
-    leaves: int | None = None,
+    rows_per_file: int = ROWS_PER_FILE,
+    leaf_rows: DataFrame | None = None,
 ) -> None:
     """Save as a catalog table partitioned by ``columns``, at ``path`` if given.
 
-    ``leaves`` is as in :func:`write_partitioned`.
+    ``rows_per_file`` and ``leaf_rows`` are as in :func:`write_partitioned`.
     """
     names = as_list(columns)
-    writer = _rebalanced(df, names, leaves).write.partitionBy(*names).format(fmt).mode(mode)
+    writer = split_leaves(df, names, rows_per_file, leaf_rows).write.partitionBy(*names).format(fmt).mode(mode)
     if path is not None:
         writer = writer.option("path", path)
     writer.saveAsTable(name)

@@ -10,9 +10,35 @@ from tabularium import functions as fn
 D = dt.date
 
 
-def test_pad_key_fills_and_cuts(values):
-    got = values([12, 0, 12345678, 123456789, None], "k long", fn.pad_key(F.col("k"), 8))
-    assert got == ["00000012", "00000000", "12345678", "12345678", None]
+def test_pad_key_never_makes_one_key_of_two(values):
+    rows = [12, 0, 12345678, 123456781, 123456789, None]
+    assert values(rows, "k long", fn.pad_key(F.col("k"), 8)) == ["00000012", "00000000", "12345678", None, None, None]
+    kept = values(rows, "k long", fn.pad_key(F.col("k"), 8, overflow="keep"))
+    assert kept == ["00000012", "00000000", "12345678", "123456781", "123456789", None]
+    assert values(rows, "k long", fn.pad_key(F.col("k"), 8, overflow="cut"))[3:] == ["12345678", "12345678", None]
+    with pytest.raises(ValueError):
+        fn.pad_key(F.col("k"), 8, overflow="x")
+
+
+def test_links_in_every_way_of_quoting(values):
+    html = "<a href='x'><A HREF=\"y\"><a class=k href=z><a href=\"w\"><a href = \"q\"><a name=\"no\"><a href=\"it's\">"
+    assert values([html], "h string", fn.extract_links(F.col("h"))) == [["x", "y", "z", "w", "q", "it's"]]
+
+
+def test_text_and_phone_through_nested_elements(values):
+    text = '<div class="VwiC3b yXK7lf MUxGbd yDYNvb lyLwlc lEBKkf">one <div>two</div> three</div><div>no</div>'
+    side = '<div id="rhs"><span class="LrzXr zdqRlf kno-fv"><span>(41)</span> 3333</span><span>9</span></div>'
+    html = f'<div id="rso"><div class="MjjYud"><a href="l">t</a>{text}</div><div class="MjjYud"></div></div>{side}'
+    found = values([html], "h string", fn.extract_results(F.col("h"), fn.SEARCH_PAGE))
+    assert [tuple(r) for r in found[0]] == [(0, "l", "one two three")]
+    layout = fn.SEARCH_PAGE
+    phone = fn.extract_phone(F.col("h"), layout.phone, element=layout.phone_element)
+    assert values([html], "h string", phone) == ["(41) 3333"]
+
+
+def test_padded_and_named_references(values):
+    rows = ["&apos;", "&#00000233;", "&#x00000E9;", "&#233;", "&#99999999;", "&#0;"]
+    assert values(rows, "t string", fn.unescape_entities(F.col("t"))) == ["'", "é", "é", "é", "&#99999999;", "&#0;"]
 
 
 def test_compose_key_needs_all_parts(values):
@@ -185,7 +211,7 @@ def test_results_of_a_search_page(values):
 
 def test_phone_of_a_search_page(values):
     html = [page(block("http://a", "x"), phones=["(43) 3333-1111", "(43) 2"]), page(block("http://a", "x")), None]
-    got = values(html, "h string", fn.extract_phone(F.col("h"), fn.SEARCH_PAGE.phone))
+    got = values(html, "h string", fn.extract_phone(F.col("h"), fn.SEARCH_PAGE.phone, element=fn.SEARCH_PAGE.phone_element))
     assert got == ["(43) 3333-1111", fn.NO_PHONE, fn.NO_PHONE]
 
 
@@ -198,4 +224,4 @@ def test_long_pages_are_read_whole(values):
     html = page(*[block(f"http://x/{i}", f"texto {i} " + "palavra " * 50) for i in range(2000)], phones=["1"])
     got = values([html], "h string", fn.extract_results(F.col("h"), fn.SEARCH_PAGE))[0]
     assert len(got) == 1999 and got[-1]["link"] == "http://x/1998"
-    assert values([html], "h string", fn.extract_phone(F.col("h"), fn.SEARCH_PAGE.phone)) == ["1"]
+    assert values([html], "h string", fn.extract_phone(F.col("h"), fn.SEARCH_PAGE.phone, element=fn.SEARCH_PAGE.phone_element)) == ["1"]

@@ -46,9 +46,14 @@ def test_whole_lookup(spark, tmp_path):
         "BETA": (fn.NO_PHONE, ["http://beta"], ["b & c"]),
         "DELTA": ("33", [], []),
         "EPSILON": (fn.NO_PHONE, [], []),
-        None: (fn.NO_PHONE, [], []),
     }
 
+    assert tuple(plans.unsearchable(companies).first()) == (1, 1)
+    whole = str(tmp_path / "whole")
+    plans.enrich_files(spark, str(tmp_path / "c.csv"), pages, whole)
+    read = {r["NOME_EMPRESA"]: r for r in src.read_headed_csv(spark, whole).collect()}
+    assert set(read) == set(got) and json.loads(read["ALFA"]["descricao"]) == ["um", None, "tres"]
+
     out = str(tmp_path / "out")
     src.write_headed_csv(plans.enrich(companies, results, ["line"]), out, key="NOME_EMPRESA")
     back = {r["NOME_EMPRESA"]: r for r in src.read_headed_csv(spark, out).collect()}

@@ -1,11 +1,13 @@
 from __future__ import annotations
 
+import math
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 from tabularium import operators as op
+from tabularium.operators import balanced
 from tabularium.operators.balanced import _CELL, _place
 from tabularium.operators.names import as_list
 
@@ -69,15 +71,27 @@ def test_join_sides_that_lack_the_hot_key(spark):
 
 def test_hot_keys_and_their_cells(skewed):
     counts = [Counter(r["k"] for r in df.select("k").collect()) for df in skewed]
-    want = {k: tuple(max(-(-c[k] // 100), 1) for c in counts)
-            for k in set().union(*counts) if k is not None and max(c[k] for c in counts) > 100}
-    assert {r[0]: tuple(r)[1:] for r in op.hot_keys(skewed, "k", rows_per_task=100).collect()} == want
-    assert want[1][0] > 19 and want[1][1] == 1 and want[1][2] == 2
-    assert op.hot_keys(skewed, "k", rows_per_task=1, max_keys=3).count() == 3
-
-
-def test_a_limit_on_hot_keys_changes_no_rows(skewed):
-    got = op.balanced_join(skewed, "k", rows_per_task=2, max_hot_keys=2)
+    sizes = {k: [max(c[k], 1) for c in counts] for k in set().union(*counts) if k is not None}
+    got = {r[0]: tuple(r)[1:] for r in op.hot_keys(skewed, "k", rows_per_task=100).collect()}
+    assert set(got) == {k for k, n in sizes.items() if math.prod(n) > 100}
+    for k, cells in got.items():
+        assert math.prod(-(-n // c) for n, c in zip(sizes[k], cells, strict=True)) <= 100 * 1.3
+    assert got[1][1] == 1 and got[1][0] > 19 and got[1][2] > 2
+
+
+def test_the_product_of_two_middling_sides_is_spread(spark):
+    left = spark.range(1500, numPartitions=3).select(F.lit(1).alias("k"), F.col("id").alias("a"))
+    right = spark.range(1500, numPartitions=3).select(F.lit(1).alias("k"), F.col("id").alias("b"))
+    joined = op.balanced_join([left, right], "k", rows_per_task=1500)
+    loads = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(loads) == 1500 * 1500 and len(loads) >= 6 and max(loads) <= 0.3 * sum(loads)
+
+
+def test_very_many_hot_keys_change_no_rows(skewed, monkeypatch):
+    monkeypatch.setattr(balanced, "MAX_HOT_KEYS", 2)
+    found, _ = balanced._found_keys(skewed, ["k"], 2, False)
+    assert found.num_rows <= 2
+    got = op.balanced_join(skewed, "k", rows_per_task=2)
     want = op.balanced_join(skewed, "k", rows_per_task=None)
     assert got.count() == want.count()
     assert got.agg(F.sum(F.hash("k", "a", "b", "c"))).first() == want.agg(F.sum(F.hash("k", "a", "b", "c"))).first()
@@ -87,9 +101,10 @@ def test_rows_of_a_hot_key_are_spread_even_if_they_are_copies(spark):
     copies = spark.range(8000, numPartitions=40).select(F.lit(1).alias("k"), F.lit("same").alias("a"))
     hot = op.hot_keys([copies, copies], "k", rows_per_task=1000)
     placed = _place(copies, 0, 2, as_list("k"), hot, None, False)
-    loads = [r["count"] for r in placed.where(F.col(_CELL) < 8).groupBy(_CELL).count().collect()]
-    assert placed.count() == 8000 * 8
-    assert len(loads) >= 5 and max(loads) <= 8000 * 0.4
+    width = hot.first()[1]
+    loads = [r["count"] for r in placed.where(F.col(_CELL) < width).groupBy(_CELL).count().collect()]
+    assert width > 8 and placed.count() == 8000 * hot.first()[2]
+    assert len(loads) >= 20 and max(loads) <= 8000 * 0.2
 
 
 def test_rows_are_dealt_out_the_same_way_each_time(spark, skewed):

@@ -8,6 +8,7 @@ import pytest
 
 import __spark_entry__ as entry
 from check_pairs import compare, connect
+from tabularium.registered import QUERIES
 
 FOLDER = entry.SMALL
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no driver tables here")
@@ -18,7 +19,7 @@ def con():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_agrees_with_its_sql(spark, con, name):
     assert compare(spark, con, name, FOLDER) == ""
 
@@ -31,6 +32,6 @@ def test_flagship(spark):
 
 def test_no_python_in_any_plan(spark, plan):
     for name, build in entry.queries().items():
-        if name not in ("delimited_scan", "rejected_rows", "registry_state_extract", "partition_roundtrip"):
+        if name in QUERIES:
             text = plan(build(spark, FOLDER))
             assert "Python" not in text and "CartesianProduct" not in text and "NestedLoop" not in text, name

@@ -136,19 +136,22 @@ def test_reading_one_partition(spark, places, tmp_path, plan):
     assert [tuple(r) for r in two.collect()] == [(1, "PR", "007")]
 
 
-def test_a_large_leaf_is_written_by_several_tasks(spark, tmp_path):
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200KB")
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+@pytest.mark.parametrize("leaves", [50, 500, 501, 1500])
+def test_a_large_leaf_is_written_by_several_tasks(spark, tmp_path, leaves, adaptive):
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
     try:
-        df = spark.range(60000, numPartitions=12).select(
-            F.when(F.col("id") % 3 == 0, "BIG").otherwise((F.col("id") % 50).cast("string")).alias("c"),
-            F.sha2(F.col("id").cast("string"), 256).alias("v"))
+        df = spark.range(20000, numPartitions=12).select(
+            F.when(F.col("id") % 3 == 0, "BIG").otherwise((F.col("id") % leaves).cast("string")).alias("c"),
+            F.lit("same").alias("v"))
         path = str(tmp_path / "t")
-        src.write_partitioned(df, path, "c", leaves=500)
+        counts = df.groupBy("c").agg(F.count("*").alias("n_rows"))
+        src.write_partitioned(df, path, "c", rows_per_file=1200, leaf_rows=counts if leaves == 500 else None)
         files = {d: len([f for f in os.listdir(f"{path}/{d}") if f.endswith(".parquet")]) for d in os.listdir(path) if "=" in d}
-        assert files["c=BIG"] > 3 and max(n for d, n in files.items() if d != "c=BIG") <= 2
-        assert spark.read.parquet(path).count() == 60000
+        assert files["c=BIG"] > 3 and max(n for d, n in files.items() if d != "c=BIG") == 1
+        assert spark.read.schema("v string, c string").parquet(path).count() == 20000
     finally:
-        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+        spark.conf.unset("spark.sql.adaptive.enabled")
 
 
 def test_records_per_file(spark, tmp_path):
@@ -180,9 +183,9 @@ def test_file_inventory(spark, tmp_path):
 
 
 def test_sessions(spark):
-    assert ses.active_session() is spark
-    other = ses.new_session("other")
+    other = ses.new_session("other", {"spark.sql.shuffle.partitions": "77", "spark.driver.memory": "1g"})
     assert other is not spark and other.sparkContext is spark.sparkContext
+    assert other.conf.get("spark.sql.shuffle.partitions") == "77" and spark.conf.get("spark.sql.shuffle.partitions") == "8"
     other.sql("select 1 as x").createOrReplaceTempView("only_here")
     assert not spark.catalog.tableExists("only_here")
     spark.range(1).count()
@@ -194,15 +197,9 @@ def test_scratch_is_below_the_shared_folder(spark):
     assert one.startswith(f"{base}/x-") and one != two
 
 
-def test_a_cluster_needs_a_shared_scratch_folder():
-    class Cluster:
+def test_without_the_setting_scratch_is_in_the_warehouse(spark):
+    class Session:
         class conf:
-            get = staticmethod(lambda name, default: default)
+            get = staticmethod(lambda name, *default: default[0] if default else "hdfs://x/warehouse")
 
-        class sparkContext:
-            master = "yarn"
-
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        ses.scratch_path(Cluster, "x")
-    Cluster.sparkContext.master = "local[2]"
-    assert os.path.isdir(os.path.dirname(ses.scratch_path(Cluster, "x")))
+    assert ses.scratch_path(Session, "x").startswith("hdfs://x/warehouse/_scratch/x-")
