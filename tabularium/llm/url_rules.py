@@ -16,7 +16,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tabularium.llm.common import lower_ascii, stage
@@ -71,6 +71,10 @@ def _range_number(key: Column, cuts: list[str]) -> Column:
     return F.size(F.filter(known, lambda c: c <= key))
 
 
+def _literal(spark: SparkSession, rows: list[Column], kind: str) -> DataFrame:
+    return spark.range(1).select(F.inline(F.array(*rows).cast(kind)))
+
+
 def match(
     urls: DataFrame,
     rules: Iterable[tuple[str, str, str]] | DataFrame,
@@ -88,12 +92,13 @@ def match(
     """
     spark = urls.sparkSession
     if not isinstance(rules, DataFrame):
-        rules = spark.createDataFrame(list(rules), "verdict string, host string, path string")
+        listed = [F.struct(*[F.lit(v).cast("string").alias(n) for v, n in zip(r, ("verdict", "host", "path"), strict=True)]) for r in rules]
+        rules = _literal(spark, listed, "array<struct<verdict:string,host:string,path:string>>")
     rules = rules.select("host", "path", "verdict").where("host is not null and path is not null and host <> ''").withColumn("key", key_of(F.col("host")))
     events = stage(_events(rules), "rule-events")
 
     rows = urls.select(F.col(id_col).alias("page_id"), host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
-    rows = rows.withColumn("key", key_of(F.col("host")))
+    rows = stage(rows.withColumn("key", key_of(F.col("host"))), "url-keys")
     # Ranges of about equal numbers of rows, by keys that are drawn evenly from the sorted order of a sample of fixed size.
     hosts = rows.groupBy("key").agg(F.count("*").alias("n"))
     total = hosts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
@@ -108,7 +113,8 @@ def match(
     dealt = placed.join(copies, "range").withColumn("copy", F.pmod(F.xxhash64("page_id", "path"), F.col("copies")).cast("int"))
 
     # The stack at the start of a range is that of the last event at or before it.
-    opening = spark.createDataFrame([(i, c) for i, c in enumerate(["", *cuts])], "range int, key string")
+    listed = [F.struct(F.lit(i).alias("range"), F.lit(c).alias("key")) for i, c in enumerate(["", *cuts])]
+    opening = _literal(spark, listed, "array<struct<range:int,key:string>>")
     before = opening.select("range", "key", F.explode(F.when(F.col("key") == "", F.array(F.lit(""))).otherwise(_prefixes(F.col("key")))).alias("prefix"))
     own = rules.groupBy(F.col("key").alias("prefix")).agg(F.sort_array(F.collect_set(F.struct("host", "path", "verdict"))).alias("own"))
     first = before.join(own, "prefix", "left").groupBy("range", "key").agg(F.flatten(F.array_sort(F.collect_list("own"))).alias("stack"))
