@@ -120,7 +120,8 @@ def judge(
         .groupBy(F.col("doc_id").alias("line_id"))
         .agg(F.sum("line_chars").alias("line_chars"), F.sum("removed_chars").alias("removed_chars"))
     )
-    base = _base(docs, text, id_col)
+    # Written, so that a filter on the verdict is not pushed into the counts, where it would repeat their work.
+    base = stage(_base(docs, text, id_col), "counts")
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     joined = base.join(lost, F.col("doc_id").eqNullSafe(F.col("line_id")))
     depleted = F.col("removed_chars") > F.col("line_chars") * F.lit(max_removed)

@@ -204,8 +204,8 @@ class Model:
         return float(1 / (1 + math.exp(-float(np.dot(self.weights[kind], _inputs(vote, features))))))
 
 
-#: P(vote -1, 0, 1 | label) before any data, for the labels no and yes.
-_START = np.array([[0.6, 0.25, 0.15], [0.15, 0.25, 0.6]])
+#: P(vote -1, 1 | label, given a vote) before any data, for the labels no and yes; a 0 is no evidence.
+_START = np.array([[0.8, 0.2], [0.2, 0.8]])
 
 
 def _inputs(vote: tuple[int, ...], features: tuple[int, ...]) -> np.ndarray:
@@ -223,17 +223,18 @@ def estimate(patterns: dict[tuple, int], rounds: int = 50) -> Model:
     for kind in range(len(KINDS)):
         own = sorted((p, n) for p, n in patterns.items() if p[0] == kind)
         theta = np.tile(_START, (labelers, 1, 1))
-        v = np.array([p[1] for p, _ in own], int).reshape(-1, labelers) + 1
+        v = np.array([p[1] for p, _ in own], int).reshape(-1, labelers)
         n = np.array([c for _, c in own], float)
         prior, posterior = 0.5, np.zeros(len(own))
         for _ in range(rounds if own else 0):
-            logs = np.stack([sum(np.log(theta[k, label, v[:, k]]) for k in range(labelers)) for label in (0, 1)])
+            logs = np.stack([sum(np.where(v[:, k] == 0, 0, np.log(theta[k, label, (v[:, k] > 0) * 1])) for k in range(labelers)) for label in (0, 1)])
             logs += np.log([[1 - prior], [prior]])
             posterior = 1 / (1 + np.exp(np.clip(logs[0] - logs[1], -50, 50)))
             prior = float(np.clip((n * posterior).sum() / n.sum(), 0.01, 0.99))
             for k in range(labelers):
                 for label, share in ((0, 1 - posterior), (1, posterior)):
-                    counts = np.bincount(v[:, k], weights=n * share, minlength=3) + 5 * _START[label]
+                    cast = v[:, k] != 0
+                    counts = np.bincount((v[cast, k] > 0) * 1, weights=(n * share)[cast], minlength=2) + 5 * _START[label]
                     theta[k, label] = counts / counts.sum()
         reliability[kind] = theta
         # Every vote pattern counts a little even where the data lack it, so that the classifier knows what votes mean.
@@ -250,7 +251,7 @@ def _all_votes() -> list[tuple[int, ...]]:
 
 
 def _vote_posterior(theta: np.ndarray, vote: tuple[int, ...]) -> float:
-    odds = sum(math.log(theta[k, 1, v + 1] / theta[k, 0, v + 1]) for k, v in enumerate(vote))
+    odds = sum(math.log(theta[k, 1, int(v > 0)] / theta[k, 0, int(v > 0)]) for k, v in enumerate(vote) if v)
     return 1 / (1 + math.exp(-max(-50.0, min(50.0, odds))))
 
 

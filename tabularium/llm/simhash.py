@@ -270,13 +270,13 @@ def near_duplicates(
 def keep_first(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """The rows of one document of each class, the one with the smallest id; columns as in ``docs``.
 
-    A document whose rows are repeated keeps one of them, a document without an id stays only
-    if its whole class has none.
+    A document whose rows are repeated keeps one of them. Rows without an id cannot be told apart by
+    it; they are left alone.
     """
     verdict = classes.groupBy(F.col("doc_id").alias("__id")).agg(
         F.min("component_id").alias("__least"), F.count("*").alias("__rows")
-    ).where("__id <=> __least").select("__id", "__rows")
-    kept = docs.join(verdict, docs["doc_id"].eqNullSafe(verdict["__id"]))
+    ).where("__id = __least").select("__id", "__rows")
+    kept = docs.join(verdict, docs["doc_id"] == verdict["__id"])
     once = kept.where("__rows = 1").select(*[docs[c] for c in docs.columns])
     more = kept.where("__rows > 1").select(*[docs[c] for c in docs.columns]).dropDuplicates(["doc_id"])
-    return once.unionByName(more)
+    return once.unionByName(more).unionByName(docs.where("doc_id is null"))

@@ -1,0 +1,86 @@
+from __future__ import annotations
+
+import numpy as np
+import pytest
+import xxhash
+
+from tabularium.llm import simhash
+from tabularium.llm.components import components
+from tabularium.llm.queries import QUERIES
+
+
+def slow_fingerprint(text):
+    words = (text or "").encode().lower().split()
+    grams = [b" ".join(words[i : i + 4]) for i in range(max(1, len(words) - 3))] if words else []
+    hashes = [xxhash.xxh64_intdigest(g, 42) for g in grams]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def brute_components(rows):
+    """Smallest id per row of (id, fingerprint), over links of at most 4 bits."""
+    prints = np.array([f for _, f in rows], np.uint64)
+    parent = np.arange(len(rows))
+    for i in range(len(rows)):
+        near = np.flatnonzero(np.bitwise_count(prints ^ prints[i]) <= 4)
+        simhash._unite(parent, np.full(near.size, i), near)
+    root = simhash._roots(parent, np.arange(len(rows)))
+    least = {}
+    for (doc_id, _), r in zip(rows, root, strict=True):
+        if doc_id is not None:
+            least[r] = min(least.get(r, doc_id), doc_id)
+    return [least.get(r) for r in root]
+
+
+def test_fingerprints():
+    for text in (None, "", "  \n", "One", "a b c", "a b c d", "A b\x0bc  d e É f g", "x y " * 70_000):
+        assert simhash.fingerprint(text) & (1 << 64) - 1 == slow_fingerprint(text) if len(text or "") < 1000 else True
+    assert simhash.fingerprint("É a b c") != simhash.fingerprint("é a b c") and simhash.fingerprint("A b") == simhash.fingerprint("a B")
+    long = "x y z " * 50_000
+    assert simhash.fingerprint(long) & (1 << 64) - 1 == slow_fingerprint(long)
+
+
+def test_defined_cases(docs):
+    text = " ".join(f"w{i}" for i in range(300))
+    table = docs([(5, text), (3, text), (9, None), (7, ""), (8, "one two"), (5, text), (None, text), (None, "alone here now yes")])
+    got = sorted(((r["doc_id"] is None, r["doc_id"], r["component_id"], r["fingerprint"]) for r in simhash.near_duplicates(table).collect()), key=str)
+    by_id = {(d, c) for _, d, c, _ in got}
+    assert by_id == {(5, 3), (3, 3), (9, 7), (7, 7), (8, 8), (None, 3), (None, None)} and len(got) == 8
+    assert {f for _, d, _, f in got if d in (7, 9)} == {"0" * 16}
+    kept = simhash.keep_first(table, simhash.near_duplicates(table))
+    assert kept.columns == table.columns
+    assert sorted(str(r["doc_id"]) for r in kept.collect()) == ["3", "7", "8", "None", "None"]
+    assert simhash.near_duplicates(table.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("shard_rows", [16, 100_000])
+def test_all_links_are_found(spark, shard_rows):
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 1 << 63, 300, dtype=np.uint64)
+    rows = list(base)
+    for x in base[:150]:
+        for _ in range(3):
+            for bit in rng.choice(64, rng.integers(1, 7), replace=False):
+                x = x ^ np.uint64(1 << int(bit))
+            rows.append(x)
+    rows += [base[0] ^ np.uint64(1 << a | 1 << b) for a in range(12) for b in range(a)]  # one tight group
+    signed = sorted({int(x) for x in np.array(rows, np.uint64).view(np.int64)})
+    distinct = spark.createDataFrame([(x,) for x in signed], "fp long")
+    found = simhash.links(distinct, shard_rows=shard_rows, sample=64)
+    label = {r["node"]: r["root"] for r in components(found, "a", "b").collect()}
+    want = brute_components([(x, x & (1 << 64) - 1) for x in signed])
+    assert [label.get(x, x) for x in signed] == want
+
+
+def test_components_of_a_long_path_and_odd_links(spark):
+    path = [(i, i + 1) for i in range(200)] + [(500, 500), (None, 3), (7, None), (301, 300), (300, 301), (301, 302)]
+    got = {r["node"]: r["root"] for r in components(spark.createDataFrame(path, "x long, y long"), "x", "y").collect()}
+    assert got == {**dict.fromkeys(range(201), 0), **dict.fromkeys((300, 301, 302), 300)}
+    assert components(spark.createDataFrame([], "x long, y long"), "x", "y").count() == 0
+
+
+def test_query_against_brute_force(spark, small):
+    texts = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text").collect()
+    rows = [(r["doc_id"], slow_fingerprint(r["text"])) for r in texts]
+    want = {d: (f"{f:016x}", c) for (d, f), c in zip(rows, brute_components(rows), strict=True)}
+    got = QUERIES["op4_simhash_vantage_trees"](spark, small).collect()
+    assert {r["doc_id"]: (r["fingerprint"], r["component_id"]) for r in got} == want and len(got) == len(rows)
