@@ -129,7 +129,7 @@ def test_establishments(registry):
     assert streets == ["AREA", "PRACA", "SITIO", "ESTACAO", "-"]
     assert got["00000039"]["NUMERO"] is None and got["00000040"]["NUMERO"] is None
     assert got["00000041"]["LOGRADOURO"] == "DAS; FLORES" and got["00000041"]["EMAIL"] == "-"
-    assert got["12345678"]["CNPJ"] == "12345678000105"
+    assert got[None]["CNPJ"] is None and got[None]["CNPJ ORDEM"] == "0001"
     assert got["00000042"]["UF"] == "-" and got["00000042"]["MUNICIPIO"] == "SANTA BÁRBARA D'OESTE"
 
 
