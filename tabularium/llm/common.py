@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 #: Words are runs of anything but these white-space characters (space, tab to carriage return).
 WORD_BREAK = r"[\x20\x09-\x0D]+"
 
+#: A key with more than one in so many of all rows is large, so there are fewer large keys than this.
+LARGE_KEYS = 10_000
+
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -27,6 +30,18 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def join_sized(rows: DataFrame, values: DataFrame, key: str, size: str, total: int) -> DataFrame:
+    """Inner join of ``rows`` with ``values``, which has one row per key and the number of rows of each key in ``size``.
+
+    ``total`` is the sum of the sizes or more. The few large keys are broadcast, so that their rows stay
+    where they are read; all others are shuffled. Both inputs are used twice, so both should be cheap to read.
+    """
+    bound = F.lit(total) / F.lit(LARGE_KEYS)
+    large = F.broadcast(values.where(F.col(size) > bound).drop(size))
+    others = values.where(F.col(size) <= bound).drop(size)
+    return rows.join(large, key).unionByName(rows.join(large.select(key), key, "left_anti").join(others, key))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

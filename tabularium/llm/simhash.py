@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabularium.llm.common import map_batches, stage
+from tabularium.llm.common import join_sized, map_batches, stage
 from tabularium.llm.components import components
 
 SHINGLE = 4
@@ -259,12 +259,16 @@ def near_duplicates(
     (null if no document of the component has an id). An empty table gives an empty one.
     """
     hashed = stage(fingerprints(docs, text, id_col, shingle), "fingerprints")
-    distinct = stage(hashed.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
+    distinct = stage(hashed.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies")), "distinct")
     found = components(links(distinct, max_distance, blocks, shard_rows, sample), "a", "b")
-    member = distinct.join(found.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    least = member.groupBy("root").agg(F.min("first").alias("component_id"))
-    classes = member.join(least, "root").select("fp", "component_id")
-    return hashed.join(classes, "fp").select("doc_id", hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
+    member = distinct.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    member = stage(member, "members")
+    # A group of copies and a component may hold a large part of all rows.
+    least = member.groupBy("root").agg(F.min("first").alias("component_id"), F.count("*").alias("prints"))
+    classes = join_sized(member.select("fp", "root", "copies"), least, "root", "prints", member.count())
+    classes = stage(classes.select("fp", "component_id", "copies"), "classes")
+    named = join_sized(hashed, classes, "fp", "copies", hashed.count())
+    return named.select("doc_id", hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
 def keep_first(docs: DataFrame, classes: DataFrame) -> DataFrame:
