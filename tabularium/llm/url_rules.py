@@ -23,6 +23,8 @@ from tabularium.llm.common import lower_ascii, stage
 
 #: Rows (URLs) that one sorted range should hold.
 ROWS_PER_RANGE = 200_000
+#: Cuts are literals of the plan, so their number is fixed; with more rows a range is dealt out over more copies.
+MAX_RANGES = 1024
 DEFAULT = "allow"
 
 _STACK = "array<struct<host:string,path:string,verdict:string>>"
@@ -102,8 +104,8 @@ def match(
     # Ranges of about equal numbers of rows, by keys that are drawn evenly from the sorted order of a sample of fixed size.
     hosts = rows.groupBy("key").agg(F.count("*").alias("n"))
     total = hosts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    ranges = max(1, math.ceil(total / rows_per_range))
-    draw = hosts.orderBy(F.desc(F.col("n") >= total / ranges / 4), F.xxhash64("key"), "key").limit(min(50 * ranges, 100_000) if ranges > 1 else 0)
+    ranges = min(MAX_RANGES, max(1, math.ceil(total / rows_per_range)))
+    draw = hosts.orderBy(F.desc(F.col("n") >= total / ranges / 4), F.xxhash64("key"), "key").limit(50 * ranges if ranges > 1 else 0)
     drawn = sorted(r["key"] for r in draw.select("key").collect())
     cuts = sorted({drawn[len(drawn) * i // ranges] for i in range(1, ranges)}) if drawn else []
 

@@ -178,6 +178,13 @@ def test_url_rules(spark, rows_per_range):
     assert left.columns == table.columns and left.count() == sum(v[3] == "allow" for v in got.values())
 
 
+def test_url_ranges_beyond_their_number_become_copies(spark, monkeypatch):
+    monkeypatch.setattr(url_rules, "MAX_RANGES", 2)
+    table = spark.createDataFrame([(i, f"http://h{i % 7}.example.{'net' if i % 3 else 'com'}/{'en' if i % 2 else 'de'}/{i}") for i in range(200)], "page_id long, url string")
+    got = {r["page_id"]: tuple(r)[1:] for r in url_rules.match(table, url_rules.RULES, rows_per_range=5).collect()}
+    assert got == {r["page_id"]: slow_match(r["url"], url_rules.RULES) for r in table.collect()}
+
+
 # Chat
 
 
