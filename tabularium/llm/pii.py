@@ -18,7 +18,9 @@ that are not base spans.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
+import itertools
 import math
 import re
 from collections import Counter
@@ -131,7 +133,7 @@ _NO_HOST = ("0.", "127.", "255.")
 
 
 def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """Spans of the looser patterns that touch no base span and no other candidate."""
+    """Spans of the looser patterns that touch no base span (``base`` is sorted) and no other candidate."""
     found: list[tuple[int, int, int]] = []
     if _MARK.search(text):
         found += [(m.start(), EMAIL, m.end()) for m in _MARKED_AT.finditer(text)]
@@ -141,9 +143,11 @@ def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, i
         found += [(m.start(), PHONE, m.end()) for m in _NATIONAL.finditer(text)]
     if not found:
         return []
-    taken, kept = sorted((a, b) for a, _, b in base), []
+    starts, kept = [a for a, _, _ in base], []
+    reach = list(itertools.accumulate((b for _, _, b in base), max))  # the furthest end of the base spans up to each
     for a, kind, b in sorted(found):
-        if not any(a < y and x < b for x, y in taken) and (not kept or kept[-1][2] <= a):
+        before = bisect.bisect_left(starts, b)
+        if not (before and reach[before - 1] > a) and (not kept or kept[-1][2] <= a):
             kept.append((a, kind, b))
     return kept
 

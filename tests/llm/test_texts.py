@@ -155,6 +155,18 @@ def test_base_spans_are_the_leftmost_matches(x):
     assert pii.base_spans(x) == slow_spans(x)
 
 
+def test_candidates_touch_no_base_span():
+    parts = ["a@b.org", "(030) 12345 67", "x [at] y.org", "+49 30 1234567", "1.2.3.4", "1[.]2[.]3[.]4", "4111/1111/1111/1111", "4111 1111 1111 1111"]
+    texts = [f"{p}{gap}{q}{gap}{r}" for p in parts for q in parts for r in parts for gap in (" ", ", ", "")]
+    for text in texts:
+        base = pii.base_spans(text)
+        alone, more = pii.candidates(text, []), pii.candidates(text, base)
+        assert not any(a < y and x < b for a, _, b in more for x, _, y in base)
+        assert all(p[2] <= q[0] for p, q in zip(more, more[1:], strict=False))
+        want = [s for s in alone if not any(s[0] < y and x < s[2] for x, _, y in base)]
+        assert set(want) <= set(more)
+
+
 def test_base_spans_in_long_runs():
     for x in ("a" * 200_000, "1" * 200_000, "1." * 100_000, "@" * 50_000, "+1 " * 50_000):
         assert isinstance(pii.base_spans(x), list)
