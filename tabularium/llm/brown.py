@@ -2,15 +2,19 @@
 
 Every word belongs to a class. A text's probability is the product of class transitions and of word
 emissions within classes. The classes come from exchange clustering: words are moved between
-classes one at a time, always to the class that raises the likelihood of the class bigrams most.
-
-What is moved are units: the most frequent words are units of their own, all other words (known or
-not) share units by a hash of their ending. Units bound the bigram table, so the exchange runs
-on counts of fixed size; those counts, the word counts and the class statistics cover all training
-text, and every word has an emission probability of its own.
-
-Texts are encoded once, in chunks with a local dictionary each. Only the dictionaries (a row for each
-distinct word of a chunk) are shuffled to be counted and to meet the counts again; texts are not.
+classes, always to the class that raises the likelihood of the class bigrams most.
+
+The start is made on the driver: the most frequent words and the hashed endings of all others are units
+of a table of fixed size, which are moved one at a time. From there every training word is moved by its
+own neighbours, in distributed sweeps: the chunks of the corpus count which classes stand before and
+after each word, buckets of words add these counts up and choose each word's best class against the
+class bigrams of all text, and the chunks get the new classes back. A sweep moves the words in parts,
+so that words do not all chase each other; a part that lowers the likelihood is taken back, and the next
+sweep has twice as many parts. Sweeps go on until one gains no more than ``TOLERANCE``. Only a word
+that training never saw has the class of its ending.
+
+Texts are encoded once, in chunks with a local dictionary each. What is shuffled are places and counts
+per distinct word of a chunk, and the encoded chunks (compressed) to meet them.
 """
 
 from __future__ import annotations
@@ -27,8 +31,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabularium.llm.common import arrow_schema, remainder, stage, text_slices
+from tabularium.session import remove_path
 
-#: Frequent words that are units of their own, units for all other words, and classes.
+#: For the start: frequent words that are units of their own, and units for all other words. Then the classes.
 TOP = 768
 ENDINGS = 255
 CLASSES = 48
@@ -36,6 +41,10 @@ SWEEPS = 6
 HELD_OUT = (5, 1)
 #: UTF-8 bytes of the texts that share a dictionary.
 CHUNK_BYTES = 16 << 20
+#: Entries of chunk dictionaries that share a bucket.
+BUCKET_ENTRIES = 200_000
+#: Sweeps end with one that raises the likelihood by less than this, in nats a token.
+TOLERANCE = 1e-2
 
 _BOUNDARY = TOP + ENDINGS
 UNITS = _BOUNDARY + 1
@@ -57,37 +66,43 @@ def ending_unit(word: bytes) -> int:
 
 
 def encode(docs: DataFrame, text: str = "text", id_col: str = "doc_id", chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """Rows of two sorts: ``chunk, doc_id, held_out, ids`` of a document, and ``chunk, words, counts`` of a chunk's dictionary.
+    """Rows of two sorts: the documents of a slice of a chunk, and ``chunk, words, counts`` of a chunk's dictionary.
 
-    ``ids`` are the places of a document's words in the dictionary (32 bit, little-endian), ``counts``
-    how often its words occur in training documents.
+    ``ids`` are the places of the documents' words in the dictionary (32 bit, little-endian, zstd), ``lengths``
+    the words of each document, ``flags`` 1 for a held-out document plus 2 for a null id, ``counts`` how often
+    the words occur in training documents, of which there are ``n_train``.
     """
-    schema = "chunk long, doc_id long, held_out boolean, ids binary, words array<string>, counts array<long>"
+    schema = "chunk long, n_train long, doc_ids binary, flags binary, lengths binary, ids binary, words array<string>, counts array<long>"
     target = arrow_schema(schema)
 
-    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), target, strict=True)], schema=target)
+    def batch_of(row: tuple) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(row, target, strict=True)], schema=target)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = TaskContext.get().partitionId() << 24
         number, size, local = 0, 0, {}
         counts = np.zeros(0, np.int64)
         for batch in text_slices(batches):
-            rows, trained = [], []
-            for doc_id, held, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+            add, lines = local.setdefault, []
+            for value in batch.column(2):
                 x = value.as_py()
-                add = local.setdefault
-                ids = np.array([add(w, len(local)) for w in words_of(x)], "<i4")
-                rows.append((first + number, doc_id, held, ids.tobytes(), None, None))
-                if not held:
-                    trained.append(ids)
+                lines.append(np.array([add(w, len(local)) for w in words_of(x)], "<i4"))
                 size += len(x or "")
-            if rows:
-                yield batch_of(rows)
-            if trained:
-                more = np.bincount(np.concatenate(trained), minlength=len(local)).astype(np.int64)
-                more[: counts.size] += counts
+            if lines:
+                held = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
+                more = np.zeros(len(local), np.int64)
+                more[: counts.size] = counts
+                for h, ids in zip(held, lines, strict=True):
+                    if not h:
+                        np.add.at(more, ids, 1)
                 counts = more
+                null = batch.column(0).is_null().to_numpy(zero_copy_only=False)
+                doc_ids = batch.column(0).fill_null(0).to_numpy(zero_copy_only=False).astype("<i8")
+                lengths = np.array([x.size for x in lines], "<i8")
+                yield batch_of((
+                    first + number, int((~held).sum()), doc_ids.tobytes(), (held + 2 * null).astype(np.uint8).tobytes(), lengths.tobytes(),
+                    pa.compress(np.concatenate(lines).tobytes(), "zstd", asbytes=True), None, None,
+                ))
             if size >= chunk_bytes:
                 yield dictionary(first + number, local, counts)
                 number, size, local, counts = number + 1, 0, {}, np.zeros(0, np.int64)
@@ -96,13 +111,21 @@ def encode(docs: DataFrame, text: str = "text", id_col: str = "doc_id", chunk_by
 
     def dictionary(chunk: int, local: dict[bytes, int], counts: np.ndarray) -> pa.RecordBatch:
         padded = np.concatenate((counts, np.zeros(len(local) - counts.size, np.int64)))
-        return batch_of([(chunk, None, None, None, [w.decode("utf-8", "replace") for w in local], padded)])
+        return batch_of((chunk, None, None, None, None, None, [w.decode("utf-8", "replace") for w in local], padded))
 
     modulus, rest = HELD_OUT
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), (remainder(id_col, modulus) == rest).alias("held_out"), F.col(text))
     return rows.mapInArrow(run, schema)
 
 
+def _documents(slices: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Ids, flags, ends and words of the documents of each slice."""
+    for doc_ids, flags, lengths, data in zip(slices["doc_ids"], slices["flags"], slices["lengths"], slices["ids"], strict=True):
+        ends = np.cumsum(np.frombuffer(lengths, "<i8"))
+        ids = np.frombuffer(pa.decompress(data, int(ends[-1]) * 4, "zstd", asbytes=True), "<i4") if ends[-1] else np.zeros(0, "<i4")
+        yield np.frombuffer(doc_ids, "<i8"), np.frombuffer(flags, np.uint8), ends, ids
+
+
 def unit_bigrams(docs: DataFrame, units: dict[bytes, int], text: str = "text", id_col: str = "doc_id") -> np.ndarray:
     """Counts of neighbouring units in the training documents, with the boundary before and after each; a table of fixed size."""
 
@@ -177,6 +200,232 @@ def exchange(bigrams: np.ndarray, classes: int = CLASSES, sweeps: int = SWEEPS)
     return label
 
 
+# Distributed sweeps ----------------------------------------------------------------------------------
+
+#: The entries of one chunk's dictionary whose words are in one bucket; ``word`` is the number of the word in the bucket.
+_PLACED = "bucket int, chunk long, place binary, word binary, class binary"
+#: What a word's neighbours count: ``n_codes`` pairs of ``code, n`` an entry. A code is the class before, CLASSES + the
+#: class after, or 2 * CLASSES for the word itself. Rows without a bucket hold the class bigrams of a chunk in ``grid``.
+_COUNTED = _PLACED + ", n_codes binary, code binary, n binary, grid array<long>"
+
+
+def _joined(parts: pd.Series, dtype: str) -> np.ndarray:
+    return np.frombuffer(b"".join(parts), dtype)
+
+
+def _members(coded: DataFrame) -> DataFrame:
+    """The dictionaries dealt to buckets of words: placed entries (without class), and a row without chunk with the words and counts of a bucket."""
+    entries = coded.where("words is not null").agg(F.sum(F.size("words"))).first()[0] or 0
+    buckets = 64 + entries // BUCKET_ENTRIES
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["chunk", "place"])
+        number, words = pd.factorize(rows["word"])
+        number, place, chunk = number.astype("<i4"), rows["place"].to_numpy("<i4"), rows["chunk"].to_numpy()
+        bucket = int(rows["bucket"].iloc[0])
+        counts = np.bincount(number, rows["n"], len(words)).astype(np.int64)
+        out = [(bucket, None, None, None, list(words), counts)]
+        begin = np.flatnonzero(np.diff(chunk, prepend=chunk[0] - 1))
+        for b, e in zip(begin, [*begin[1:], chunk.size], strict=True):
+            out.append((bucket, int(chunk[b]), place[b:e].tobytes(), number[b:e].tobytes(), None, None))
+        return pd.DataFrame(out, columns=["bucket", "chunk", "place", "word", "words", "counts"]).astype({"chunk": "Int64"})
+
+    rows = coded.where("words is not null").select("chunk", F.posexplode(F.arrays_zip("words", "counts")).alias("place", "entry"))
+    rows = rows.select("chunk", "place", F.col("entry.words").alias("word"), F.col("entry.counts").alias("n"))
+    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("word"), F.lit(buckets)).cast("int"))
+    return rows.groupBy("bucket").applyInPandas(run, "bucket int, chunk long, place binary, word binary, words array<string>, counts array<long>")
+
+
+def _start(members: DataFrame, units: dict[bytes, int], label: np.ndarray) -> DataFrame:
+    """The placed entries with the classes of the words' units."""
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        words = [w.encode("utf-8", "surrogatepass") for w in rows.loc[rows["chunk"].isna(), "words"].iloc[0]]
+        classes = label[[units[w] if w in units else ending_unit(w) for w in words]].astype("<u2")
+        rows = rows[rows["chunk"].notna()]
+        return rows[["bucket", "chunk", "place", "word"]].assign(**{"class": [classes[np.frombuffer(w, "<i4")].tobytes() for w in rows["word"]]})
+
+    return members.groupBy("bucket").applyInPandas(run, _PLACED)
+
+
+def neighbour_counts(coded: DataFrame, placed: DataFrame, classes: int, part: int = 0, parts: int = 1) -> DataFrame:
+    """The classes before and after one part of the words in each chunk's training documents, and the class bigrams of all of them."""
+    codes = 2 * classes + 1
+
+    def run(slices: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
+        place = _joined(rows["place"], "<i4")
+        rank = np.zeros(place.size + 1, np.int64)
+        rank[place] = np.arange(place.size)
+        rank[-1] = place.size
+        label = np.append(_joined(rows["class"], "<u2").astype(np.int64), 0)
+        line = [np.array([place.size])]
+        for _, flags, ends, ids in _documents(slices):
+            trained = (flags & 1) == 0
+            lengths = np.diff(ends, prepend=0)
+            kept = ids[np.repeat(trained, lengths)]
+            line.append(rank[np.insert(kept, np.cumsum(lengths[trained]), place.size)])
+        line = np.concatenate(line)
+        left, right, kind = line[:-1], line[1:], label[line]
+        grid = np.bincount(kind[:-1] * classes + kind[1:], minlength=classes * classes)
+        own = left == right
+        wanted = np.append(_joined(rows["word"], "<i4") % parts == part, False)
+        after, before, own = ~own & wanted[left], ~own & wanted[right], own & wanted[left]
+        key = np.concatenate((
+            right[before] * codes + kind[:-1][before], left[after] * codes + classes + kind[1:][after],
+            left[own] * codes + 2 * classes,
+        ))
+        key, n = np.unique(key, return_counts=True)
+        entry, code, n = key // codes, (key % codes).astype("<u2"), n.astype("<i4")
+        n_codes = np.bincount(entry, minlength=place.size).astype("<u2")
+        sizes = np.array([len(p) // 4 for p in rows["place"]], np.int64)
+        ends = np.cumsum(sizes)
+        stops = np.searchsorted(entry, ends)
+        out = rows[["bucket", "chunk", "place", "word", "class"]].assign(
+            n_codes=[n_codes[e - s : e].tobytes() for s, e in zip(sizes, ends, strict=True)],
+            code=[code[b:e].tobytes() for b, e in zip([0, *stops[:-1]], stops, strict=True)],
+            n=[n[b:e].tobytes() for b, e in zip([0, *stops[:-1]], stops, strict=True)],
+            grid=None,
+        )
+        last = pd.DataFrame([(None, None, None, None, None, None, None, None, grid)], columns=out.columns)
+        return pd.concat([out.astype({"bucket": "Int64", "chunk": "Int64"}), last.astype({"bucket": "Int64", "chunk": "Int64"})])
+
+    slices = coded.where("ids is not null").select(F.col("chunk").alias("part"), "doc_ids", "flags", "lengths", "ids")
+    return slices.groupBy("part").cogroup(placed.groupBy("chunk")).applyInPandas(run, _COUNTED)
+
+
+def best_classes(grid: np.ndarray, label: np.ndarray, word: np.ndarray, code: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The class of each word that raises the likelihood of the class bigrams most if it alone moves.
+
+    ``label`` has the words' classes; ``word, code, n`` are their counts, sorted by word and without repeats.
+    """
+    classes = grid.shape[0]
+    best = label.copy()
+    rows, columns = grid.sum(axis=1), grid.sum(axis=0)
+    held = _h(np.diagonal(grid))
+    seen = np.flatnonzero(np.bincount(word, minlength=label.size))
+    for first in range(0, seen.size, 2048):
+        chosen = seen[first : first + 2048]
+        at, m = slice(*np.searchsorted(word, [chosen[0], chosen[-1] + 1])), chosen.size
+        w, k, x = np.searchsorted(chosen, word[at]), code[at], n[at].astype(float)
+        table = np.zeros((m, 2 * classes + 1))
+        table[w, k] = x
+        before, after, own = table[:, :classes], table[:, classes:-1], table[:, -1]
+        a, every = label[chosen], np.arange(m)
+        gain = np.zeros((m, classes))
+        for side, other, toward in ((after, before, True), (before, after, False)):
+            e = (k >= classes) & (k < 2 * classes) if toward else k < classes
+            v, j, c = w[e], k[e] - classes * toward, x[e]
+            cells = (grid.T if toward else grid)[j].copy()
+            home = a[v]
+            back = j == home
+            cells[back] -= other[v[back]]
+            cells[np.arange(v.size), home] -= c + back * own[v]
+            terms = _h(cells + c[:, None]) - _h(cells)
+            terms[np.arange(v.size), j] = 0
+            some, begin = np.unique(v, return_index=True)
+            gain[some] += np.add.reduceat(terms, begin, axis=0) if v.size else 0
+        whole = after + before + own[:, None]
+        diagonal = np.repeat(np.diagonal(grid)[None, :], m, axis=0)
+        old = np.repeat(held[None, :], m, axis=0)
+        diagonal[every, a] -= whole[every, a]
+        old[every, a] = _h(diagonal[every, a])
+        gain += _h(diagonal + whole) - old
+        for margin, tokens in ((rows, after.sum(axis=1) + own), (columns, before.sum(axis=1) + own)):
+            sums = np.repeat(margin[None, :], m, axis=0)
+            sums[every, a] -= tokens
+            gain -= _h(sums + tokens[:, None]) - _h(sums)
+        gain[:, 0] = -np.inf
+        b = gain.argmax(axis=1)
+        best[chosen] = np.where(gain[every, b] > gain[every, a] + 1e-9, b, a)
+    return best
+
+
+def _moved(counted: DataFrame, grid: np.ndarray, part: int, parts: int) -> DataFrame:
+    """The placed entries with the best classes of one part of the words, of all others the old ones."""
+    classes = grid.shape[0]
+    codes = 2 * classes + 1
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        number, old = _joined(rows["word"], "<i4"), _joined(rows["class"], "<u2").astype(np.int64)
+        label = np.zeros(number.max() + 1, np.int64)
+        label[number] = old
+        key = np.repeat(number.astype(np.int64), _joined(rows["n_codes"], "<u2")) * codes + _joined(rows["code"], "<u2")
+        mine = key // codes % parts == part
+        key, place = np.unique(key[mine], return_inverse=True)
+        n = np.bincount(place, _joined(rows["n"], "<i4")[mine], key.size)
+        best = best_classes(grid, label, key // codes, key % codes, n).astype("<u2")
+        return rows[["bucket", "chunk", "place", "word"]].assign(**{"class": [best[np.frombuffer(w, "<i4")].tobytes() for w in rows["word"]]})
+
+    return counted.where("bucket is not null").drop("grid").groupBy("bucket").applyInPandas(run, _PLACED)
+
+
+def likelihood(grid: np.ndarray) -> float:
+    """Log likelihood of the class bigrams, up to what does not depend on the classes."""
+    return float(_h(grid).sum() - _h(grid.sum(axis=0)).sum() - _h(grid.sum(axis=1)).sum())
+
+
+def sweep(coded: DataFrame, placed: DataFrame, classes: int) -> tuple[DataFrame, np.ndarray]:
+    """The placed entries with the classes after the last sweep, and the class bigrams under them."""
+
+    spark = coded.sparkSession
+
+    def count(entries: DataFrame, part: int, parts: int) -> tuple[DataFrame, np.ndarray]:
+        counted = stage(neighbour_counts(coded, entries, classes, part, parts), "neighbours")
+        grid = np.zeros(classes * classes)
+        cells = counted.where("bucket is null").select(F.posexplode("grid").alias("cell", "n")).groupBy("cell").agg(F.sum("n"))
+        for cell, n in cells.collect():
+            grid[cell] = n
+        return counted, grid.reshape(classes, classes)
+
+    def drop(counted: DataFrame) -> None:
+        for folder in {f.rpartition("/")[0] for f in counted.inputFiles()}:
+            remove_path(spark, folder)
+
+    def placed_of(counted: DataFrame) -> DataFrame:
+        return counted.where("bucket is not null").select("bucket", "chunk", "place", "word", "class")
+
+    parts, gain = 2, np.inf
+    counted, grid = count(placed, 0, parts)
+    while gain > TOLERANCE * grid.sum():
+        gain, fell = 0.0, False
+        for part in range(parts):
+            following = (part + 1) % parts
+            new, new_grid = count(_moved(counted, grid, part, parts), following, parts)
+            more = likelihood(new_grid) - likelihood(grid)
+            if more < 0:
+                fell = True
+                drop(new)
+                new, new_grid, more = *count(placed_of(counted), following, parts), 0.0
+            drop(counted)
+            counted, grid, gain = new, new_grid, gain + more
+        # Part 0 of twice as many parts lies within the part 0 that was counted.
+        parts *= 1 + fell
+        # Spark deletes the shuffle files of past sweeps when the driver's collector finds them unused.
+        spark.sparkContext._jvm.System.gc()
+    return placed_of(counted), grid
+
+
+def _final(members: DataFrame, placed: DataFrame, unit_class: np.ndarray) -> DataFrame:
+    """``chunk, place, class, c`` of placed entries, and rows without chunk with ``words, counts, classes`` of the training words."""
+
+    def run(own: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
+        first = own.iloc[0]
+        counts, words = np.asarray(first["counts"], np.int64), list(first["words"])
+        label = np.zeros(counts.size, np.int64)
+        label[_joined(rows["word"], "<i4")] = _joined(rows["class"], "<u2")
+        for i in np.flatnonzero(counts == 0):
+            label[i] = unit_class[ending_unit(words[i].encode("utf-8", "surrogatepass"))]
+        known = np.flatnonzero(counts)
+        out = [(None, None, None, None, [words[i] for i in known], counts[known], label[known])]
+        for chunk, place, word in zip(rows["chunk"], rows["place"], rows["word"], strict=True):
+            i = np.frombuffer(word, "<i4")
+            out.append((chunk, place, label[i].astype("<u2").tobytes(), counts[i].astype("<i8").tobytes(), None, None, None))
+        return pd.DataFrame(out, columns=["chunk", "place", "class", "c", "words", "counts", "classes"]).astype({"chunk": "Int64"})
+
+    schema = "chunk long, place binary, class binary, c binary, words array<string>, counts array<long>, classes array<long>"
+    return members.where("chunk is null").groupBy("bucket").cogroup(placed.groupBy("bucket")).applyInPandas(run, schema)
+
+
 @dataclass(frozen=True)
 class Model:
     """Units and classes, log10 transitions between classes, and the sizes of the emission tables."""
@@ -191,48 +440,45 @@ class Model:
     documents: int
 
 
-def _transitions(bigrams: np.ndarray, label: np.ndarray, classes: int) -> np.ndarray:
-    member = np.zeros((label.size, classes))
-    member[np.arange(label.size), label] = 1
-    grid = member.T @ bigrams @ member
-    share = (grid.sum(axis=0) + 0.5) / (grid.sum() + 0.5 * classes)
+def _transitions(grid: np.ndarray) -> np.ndarray:
+    share = (grid.sum(axis=0) + 0.5) / (grid.sum() + 0.5 * grid.shape[0])
     return np.log10((grid + _PRIOR * share[None, :]) / (grid.sum(axis=1, keepdims=True) + _PRIOR))
 
 
 # Fitting and scoring ---------------------------------------------------------------------------------
 
 
-def _with_class(words: DataFrame, model_units: DataFrame, label: np.ndarray) -> DataFrame:
-    """``words`` with ``class``: by the unit of the word, that of a frequent word or of its ending."""
-    tail = F.substring(F.col("word").cast("binary"), -3, 3)
-    unit = F.coalesce("unit", F.lit(TOP) + F.pmod(F.crc32(tail), F.lit(ENDINGS)))
-    known = F.array(*[F.lit(int(c)) for c in label])
-    return words.join(F.broadcast(model_units), "word", "left").withColumn("class", F.get(known, unit.cast("int"))).drop("unit")
-
-
-def _dictionary(coded: DataFrame) -> DataFrame:
-    rows = coded.where("words is not null").select("chunk", F.posexplode(F.arrays_zip("words", "counts")).alias("place", "entry"))
-    return rows.select("chunk", "place", F.col("entry.words").alias("word"), F.col("entry.counts").alias("n"))
-
-
-def fit(docs: DataFrame, coded: DataFrame, text: str = "text", id_col: str = "doc_id", classes: int = CLASSES, sweeps: int = SWEEPS) -> tuple[Model, DataFrame]:
-    """The model and the table ``word, c, class`` of all words of the training documents (``coded`` is from ``encode``)."""
-    vocabulary = stage(_dictionary(coded).where("n > 0").groupBy("word").agg(F.sum("n").alias("c")), "vocabulary")
-    top = vocabulary.orderBy(F.desc("c"), "word").limit(TOP).collect()
+def _fit(docs: DataFrame, coded: DataFrame, text: str, id_col: str, classes: int, sweeps: int) -> tuple[Model, DataFrame]:
+    members = stage(_members(coded), "members")
+    vocabulary = members.where("chunk is null").select(F.explode(F.arrays_zip("words", "counts")).alias("w")).where("w.counts > 0")
+    top = vocabulary.select(F.col("w.words").alias("word"), F.col("w.counts").alias("c")).orderBy(F.desc("c"), "word").limit(TOP).collect()
     units = {r["word"].encode("utf-8", "surrogatepass"): i for i, r in enumerate(top)}
-    bigrams = unit_bigrams(docs, units, text, id_col)
-    label = exchange(bigrams, classes, sweeps)
-    frequent = docs.sparkSession.createDataFrame([(r["word"], i) for i, r in enumerate(top)], "word string, unit int")
-    classed = _with_class(vocabulary, frequent, label)
+    label = exchange(unit_bigrams(docs, units, text, id_col), classes, sweeps)
+    placed, grid = sweep(coded, _start(members, units, label), classes)
+    final = stage(_final(members, placed, label), "classes")
     class_tokens, class_words = np.zeros(classes), np.zeros(classes)
-    for k, tokens, words in classed.groupBy("class").agg(F.sum("c"), F.count("*")).collect():
+    for k, tokens, words in _words(final).groupBy("class").agg(F.sum("c"), F.count("*")).collect():
         class_tokens[k], class_words[k] = tokens, words
-    documents = coded.where("ids is not null and not held_out").count()
+    documents = coded.agg(F.sum("n_train")).first()[0] or 0
     model = Model(
-        units, label, _transitions(bigrams, label, classes), class_tokens, class_words,
+        units, label, _transitions(grid), class_tokens, class_words,
         int(class_tokens.sum()) + documents, int(class_words.sum()) + (documents > 0), documents,
     )
-    return model, classed
+    return model, final
+
+
+def _words(final: DataFrame) -> DataFrame:
+    rows = final.where("words is not null").select(F.explode(F.arrays_zip("words", "counts", "classes")).alias("w"))
+    return rows.select(F.col("w.words").alias("word"), F.col("w.counts").alias("c"), F.col("w.classes").cast("int").alias("class"))
+
+
+def fit(docs: DataFrame, coded: DataFrame, text: str = "text", id_col: str = "doc_id", classes: int = CLASSES, sweeps: int = SWEEPS) -> tuple[Model, DataFrame]:
+    """The model and the table ``word, c, class`` of all words of the training documents (``coded`` is from ``encode``).
+
+    ``sweeps`` bounds those of the start on the driver; the distributed ones go on until they gain no more.
+    """
+    model, final = _fit(docs, coded, text, id_col, classes, sweeps)
+    return model, _words(final)
 
 
 def score(docs: DataFrame, text: str = "text", id_col: str = "doc_id", classes: int = CLASSES, sweeps: int = SWEEPS, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
@@ -244,32 +490,29 @@ def score(docs: DataFrame, text: str = "text", id_col: str = "doc_id", classes:
     gives an empty one.
     """
     coded = stage(encode(docs, text, id_col, chunk_bytes), "encoded")
-    model, vocabulary = fit(docs, coded, text, id_col, classes, sweeps)
-    frequent = docs.sparkSession.createDataFrame([(w.decode("utf-8", "replace"), i) for w, i in model.units.items()], "word string, unit int")
-    entries = _dictionary(coded).select("chunk", "place", "word").join(vocabulary.select("word", "c"), "word", "left")
-    entries = _with_class(entries, frequent, model.label).select(F.col("chunk").alias("part"), "place", F.coalesce("c", F.lit(0)).cast("long").alias("c"), "class")
-
+    model, final = _fit(docs, coded, text, id_col, classes, sweeps)
     tokens, distinct, documents = model.tokens, model.distinct, model.documents
     steps, class_tokens, class_words = model.transitions, model.class_tokens, model.class_words
     scale = np.log10(tokens + 0.5 * (distinct + 1))
 
-    def run(texts: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
-        place = words["place"].to_numpy(np.int64)
+    def run(slices: pd.DataFrame, words: pd.DataFrame) -> pd.DataFrame:
+        place = _joined(words["place"], "<i4")
         c, k = np.zeros(place.size), np.zeros(place.size, np.int64)
-        c[place], k[place] = words["c"].to_numpy(), words["class"].to_numpy()
+        c[place], k[place] = _joined(words["c"], "<i8"), _joined(words["class"], "<u2")
         base = np.log10(c + 0.5) - scale
         emission = np.log10(c + 0.5) - np.log10(class_tokens[k] + 0.5 * (class_words[k] + 1))
         out = []
-        for doc_id, held, data in zip(texts["doc_id"], texts["held_out"], texts["ids"], strict=True):
-            ids = np.frombuffer(data, "<i4")
-            line = np.concatenate(([0], k[ids], [0]))
-            n_known = int((c[ids] > 0).sum()) + (documents > 0)
-            first = float(base[ids].sum() + np.log10(documents + 0.5) - scale)
-            whole = float(steps[line[:-1], line[1:]].sum() + emission[ids].sum())
-            out.append((doc_id, held, ids.size + 1, n_known, tokens, first, whole, 10 ** min(300.0, -whole / (ids.size + 1))))
+        for doc_ids, flags, ends, texts in _documents(slices):
+            for doc_id, flag, begin, end in zip(doc_ids.tolist(), flags.tolist(), [0, *ends[:-1]], ends, strict=True):
+                ids = texts[begin:end]
+                line = np.concatenate(([0], k[ids], [0]))
+                n_known = int((c[ids] > 0).sum()) + (documents > 0)
+                first = float(base[ids].sum() + np.log10(documents + 0.5) - scale)
+                whole = float(steps[line[:-1], line[1:]].sum() + emission[ids].sum())
+                out.append((None if flag & 2 else doc_id, bool(flag & 1), ids.size + 1, n_known, tokens, first, whole, 10 ** min(300.0, -whole / (ids.size + 1))))
         frame = pd.DataFrame(out, columns=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity"])
-        return frame.astype({"doc_id": "Int64"})
+        return frame.assign(doc_id=pd.array([r[0] for r in out], "Int64"))
 
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, perplexity double"
-    texts = coded.where("ids is not null").select("chunk", "doc_id", "held_out", "ids")
-    return texts.groupBy("chunk").cogroup(entries.groupBy("part")).applyInPandas(run, schema)
+    slices = coded.where("ids is not null").select(F.col("chunk").alias("part"), "doc_ids", "flags", "lengths", "ids")
+    return slices.groupBy("part").cogroup(final.where("chunk is not null").groupBy("chunk")).applyInPandas(run, schema)

@@ -135,6 +135,28 @@ def test_probabilities_add_up(docs):
             assert (known + 0.5) / (model.class_tokens[k] + 0.5 * (model.class_words[k] + 1)) == pytest.approx(1)
 
 
+def test_best_class_by_brute_force():
+    rng = np.random.default_rng(3)
+    words, classes = 30, 5
+    bigrams = rng.poisson(1.5, (words + 1, words + 1)).astype(float)
+    label = np.append(rng.integers(1, classes, words), 0)
+
+    def total(label):
+        member = np.eye(classes)[label]
+        return brown.likelihood(member.T @ bigrams @ member)
+
+    member = np.eye(classes)[label]
+    table = np.zeros((words, 2 * classes + 1))
+    for w in range(words):
+        other = np.arange(words + 1) != w
+        table[w] = [*np.bincount(label[other], bigrams[other, w], classes), *np.bincount(label[other], bigrams[w, other], classes), bigrams[w, w]]
+    word, code = np.nonzero(table)
+    got = brown.best_classes(member.T @ bigrams @ member, label[:-1], word, code, table[word, code])
+    for w in range(words):
+        moves = [total(np.where(np.arange(words + 1) == w, b, label)) for b in range(1, classes)]
+        assert moves[got[w] - 1] == pytest.approx(max(moves), abs=1e-9)
+
+
 # Personal data
 
 
