@@ -78,7 +78,7 @@ def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], dict], schem
 
 _TYPES = {
     "long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "string": pa.string(), "boolean": pa.bool_(), "binary": pa.binary(),
-    "array<long>": pa.list_(pa.int64()), "array<int>": pa.list_(pa.int32()), "array<string>": pa.list_(pa.string()),
+    "array<long>": pa.list_(pa.int64()), "array<double>": pa.list_(pa.float64()), "array<int>": pa.list_(pa.int32()), "array<string>": pa.list_(pa.string()),
 }
 
 

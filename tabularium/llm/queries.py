@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabularium.llm import brown, chat, decontamination, hilbert, langid, line_frequency, packing, pii, simhash, url_rules
+from tabularium.llm import (
+    brown, chat, decontamination, hard_negatives, hilbert, langid, line_frequency, packing, pii, prefix_trie, simhash, toxicity, url_rules,
+)
 from tabularium.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -150,3 +152,77 @@ def op9_weak_supervision_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_complement_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack_documents(documents(spark, sf_dir))
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", F.col("offset"))
+
+
+@query()
+def op11_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return toxicity.score(docs, toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
+@query(
+    r"""
+    with turns as (
+      select conv_id, coalesce(role, '') r, coalesce(text, '') t,
+        row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) p
+      from conversations where conv_id is not null),
+    own as (select conv_id, list({'r': r, 't': t} order by p) l from turns group by 1),
+    bits(n, c) as (
+      with recursive step(n, k, c) as (
+        select range, 0, cast(range as bigint) from range(256)
+        union all
+        select n, k + 1, case when c % 2 = 1 then xor(c // 2, 3988292384) else c // 2 end from step where k < 8)
+      select n, c from step where k = 8),
+    digits as (
+      with recursive step(conv_id, s, k, c) as (
+        select conv_id, cast(conv_id as varchar), 1, cast(4294967295 as bigint) from own
+        union all
+        select conv_id, s, k + 1, xor(step.c // 256, bits.c)
+        from step join bits on bits.n = xor(step.c, cast(ascii(substr(s, k, 1)) as bigint)) & 255 where k <= length(s))
+      select conv_id, xor(c, 4294967295) % 4 h from step where k = length(s) + 1),
+    whole as (
+      select o.conv_id, list_concat(coalesce(b.l[1:h], []), coalesce(o.l[h + 1:], [])) l
+      from own o join digits using (conv_id) left join own b on b.conv_id = o.conv_id - o.conv_id % 20),
+    path as (select conv_id, l, unnest(range(len(l) + 1)) d from whole),
+    member as (select conv_id m, d, l[1:d] l, len(l) = d ends from path),
+    node as (
+      select d, l, min(m) conv_id, count(*) n,
+        coalesce(string_agg(m::varchar, ',' order by m) filter (ends), '') ends,
+        case when d = 0 then 0 else len([x for x in regexp_split_to_array(l[d].t, '[\x20\x09-\x0D]+') if x <> '']) end w
+      from member group by d, l),
+    child as (select d - 1 d, l[1:d - 1] l, count(*) c from node where d > 0 group by all),
+    leafy as (select n.*, coalesce(c, 0) c from node n left join child using (d, l)),
+    above as (
+      select x.d, x.l[1:x.d] l, count(*) filter (x.c = 0) n_leaves, sum(x.saved) saved
+      from (select unnest(range(u.d + 1)) d, u.l, u.c, (u.n - 1) * u.w saved from leafy u) x group by 1, 2)
+    select n.conv_id, cast(n.d as bigint) as "depth", p.conv_id parent_conv_id, cast(n.n as bigint) n_convs, cast(n.c as bigint) n_children,
+      cast(a.n_leaves as bigint) n_leaves, cast(a.saved as bigint) saved_tokens, sha256(n.ends) ends_sha256
+    from leafy n join above a using (d, l) left join node p on p.d = n.d - 1 and p.l = n.l[1:n.d - 1]
+    """
+)
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.nodes(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+@query(
+    """
+    with rows as (
+      select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end label,
+        [floor(256 * cast(x as double)) for x in embedding] v
+      from embeddings
+      where vec_id is not null and label is not null and embedding is not null and len([1 for x in embedding if x is null or not isfinite(x)]) = 0),
+    pairs as (
+      select a.vec_id anchor_id, c.vec_id, a.label = c.label same, cast(list_inner_product(a.v, c.v) as bigint) score
+      from rows a join rows c on a.vec_id <> c.vec_id where a.vec_id % 50 = 0),
+    positives as (
+      select anchor_id, vec_id positive_id, score positive_score from pairs where same
+      qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5)
+    select anchor_id, positive_id, cast(row_number() over (partition by anchor_id, positive_id order by score desc, vec_id) as int) as "rank",
+      vec_id negative_id, positive_score, score negative_score
+    from positives join pairs using (anchor_id)
+    where not same and 50 * positive_score <= 100 * score and 100 * score <= 95 * positive_score
+    qualify row_number() over (partition by anchor_id, positive_id order by score desc, vec_id) <= 3
+    """
+)
+def op13_four_russians_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))

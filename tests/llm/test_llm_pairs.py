@@ -18,7 +18,7 @@ def test_query_agrees_with_its_sql(spark, small, name):
 
 def test_all_are_registered():
     names = set(entry.queries())
-    assert {f"op{n}" for n in range(1, 11)} == {n.split("_")[0] for n in names if n.startswith("op")} and "pipeline" in names
+    assert {f"op{n}" for n in range(1, 14)} == {n.split("_")[0] for n in names if n.startswith("op")} and "pipeline" in names
 
 
 def test_native_queries_run_no_python(spark, small, plan):
