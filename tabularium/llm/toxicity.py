@@ -1,10 +1,11 @@
 """Toxicity by maximum-scoring segments: token log-odds, every maximal passage of a text, extreme-value calibration.
 
 *Log-odds.* Features are lower-case words and their first three to seven letters. Of each the labelled
-documents that hold it are counted, and its occurrences in them. Only features whose share of toxic
-documents differs significantly from that of all documents are kept, so a burst in one text does not
-count. Their log-odds are of occurrences in toxic against clean text, under a Dirichlet prior with the
-mean of all text; a token has those of its longest kept feature, less ``DRIFT``.
+documents that hold it are counted, and its occurrences in them. Features whose share of toxic documents
+differs significantly from that of all documents are kept, so a burst in one text does not count, and those
+that differ from a shorter kept one (as a common word from a toxic stem). Their log-odds are of occurrences in
+toxic against clean text, under a Dirichlet prior with the mean of all text; a token has those of its longest
+kept feature, less a drift that makes clean text score below zero. Of near copies one document is counted.
 
 *Passages.* One pass over the scored tokens of a text finds all maximal scoring segments (Ruzzo and
 Tompa): those no extension or cut of which scores more, and which do not overlap.
@@ -22,16 +23,17 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabularium.llm.common import map_batches, remainder, stage, text_slices
+from tabularium.llm.common import arrow_schema, map_batches, remainder, stage, text_slices
 
 HELD_OUT = (5, 0)
 #: Remainder of the documents for calibration; those with other remainders are counted.
@@ -45,7 +47,9 @@ PREFIXES = range(3, 8)
 PRIOR = 5.0
 LEAST = 5
 SIGMAS = 4.0
-#: What every token costs, so that clean text scores below zero.
+#: Kept features at least double or halve the odds.
+EFFECT = math.log(2)
+#: What every token costs, beside the mean log-odds of clean tokens if that is positive.
 DRIFT = 0.02
 #: Features a task counts before it hands the counts on.
 _HELD = 400_000
@@ -69,6 +73,7 @@ class Model:
     """Log-odds of the kept features, the extreme-value parameters and the logistic curve."""
 
     odds: dict[str, float]
+    drift: float
     decay: float
     log_k: float
     slope: float
@@ -130,8 +135,8 @@ def maximal_segments(scores: Iterator[tuple[int, float]], drift: float = DRIFT)
 class _Reader:
     """Segments of texts under one model; remembers the log-odds of words it has met, up to a number."""
 
-    def __init__(self, odds: dict[str, float]):
-        self.odds, self.known = odds, {}
+    def __init__(self, odds: dict[str, float], drift: float):
+        self.odds, self.drift, self.known = odds, drift, {}
 
     def segments(self, text: str | None) -> tuple[int, list[tuple[int, int, float]]]:
         known, words = self.known, words_of(text)
@@ -144,7 +149,7 @@ class _Reader:
                 x = known[word] = token_odds(word, self.odds)
             if x:
                 hits.append((at, x))
-        return len(words), maximal_segments(hits)
+        return len(words), maximal_segments(hits, self.drift)
 
 
 # Fitting ---------------------------------------------------------------------------------------------
@@ -160,6 +165,22 @@ def _labelled(labels: DataFrame, id_col: str, label: str, sample: int) -> DataFr
     return kept.groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
 
 
+def sketch(words: list[str]) -> int:
+    """The smallest crc32 of a text's runs of four words; near copies mostly share it."""
+    return min((zlib.crc32(" ".join(words[i : i + 4]).encode("utf-8", "surrogatepass")) for i in range(max(len(words) - 3, 1))), default=0)
+
+
+def _distinct(rows: DataFrame) -> DataFrame:
+    """``doc_id, toxic`` of the first of the documents with one sketch."""
+
+    def run(batch: pa.RecordBatch) -> dict:
+        return {"doc_id": batch.column("doc_id"), "toxic": batch.column("toxic"), "sketch": [sketch(words_of(t.as_py())) for t in batch.column("text")]}
+
+    sketched = map_batches(rows.select("doc_id", "text", F.col("toxic").cast("long").alias("toxic")), run, "doc_id long, toxic long, sketch long")
+    first = sketched.groupBy("sketch").agg(F.min("doc_id").alias("doc_id"), F.min_by("toxic", "doc_id").alias("toxic"))
+    return stage(first.select("doc_id", "toxic"), "labelled")
+
+
 def count_features(docs: DataFrame) -> DataFrame:
     """``feature, toxic, clean, toxic_uses, clean_uses``: documents of each sort that hold a feature, and its
     occurrences in them. The feature ``''`` stands for all documents and tokens."""
@@ -199,19 +220,67 @@ def count_features(docs: DataFrame) -> DataFrame:
 
 
 def log_odds(counts: dict[str, tuple[int, int]], whole: tuple[int, int], prior: float = PRIOR) -> dict[str, float]:
-    """Log-odds of the features' toxic and clean occurrences against those of ``whole`` text, under a Dirichlet prior."""
+    """Log-odds of the features' toxic and clean occurrences against those of ``whole`` text, under a Dirichlet prior.
+
+    They are rounded to hundredths, so that there are few different ones.
+    """
     base = whole[0] / sum(whole)
     share = {f: (toxic + prior * base) / (toxic + clean + prior) for f, (toxic, clean) in counts.items()}
-    return {f: math.log(p / (1 - p)) - math.log(base / (1 - base)) for f, p in share.items()}
+    return {f: round(math.log(p / (1 - p)) - math.log(base / (1 - base)), 2) for f, p in share.items()}
+
+
+def _sigmas(share: Column | float) -> Column:
+    """Standard errors between the share of toxic documents of a feature and another share."""
+    n = F.col("toxic") + F.col("clean")
+    return (F.col("toxic") - n * share) / F.sqrt(n * share * (1 - share))
+
+
+def kept_odds(counts: DataFrame, base: float, whole: tuple[int, int]) -> dict[str, float]:
+    """The log-odds of the kept features; at most twice ``FEATURES``, the most significant, reach the driver."""
 
+    def gathered(rows: DataFrame) -> dict[str, tuple[int, int, int, int]]:
+        best = rows.where(F.abs("sigmas") >= SIGMAS).orderBy(F.desc(F.abs("sigmas")), "feature").limit(FEATURES)
+        return {r["feature"]: (r["toxic"], r["clean"], r["toxic_uses"], r["clean_uses"]) for r in best.collect()}
 
-def extreme_value(token_scores: np.ndarray, best: np.ndarray, n: np.ndarray) -> tuple[float, float]:
+    def odds_of(found: dict[str, tuple[int, int, int, int]]) -> dict[str, float]:
+        return log_odds({f: x[2:] for f, x in found.items()}, whole)
+
+    own = gathered(counts.withColumn("sigmas", _sigmas(base)))
+    odds = {f: x for f, x in odds_of(own).items() if abs(x) >= EFFECT}
+    shares = {f: (own[f][0] + PRIOR * base) / (own[f][0] + own[f][1] + PRIOR) for f in odds if not f.endswith(_END)}
+
+    def run(batch: pa.RecordBatch) -> dict:
+        share = []
+        for feature in batch.column("feature").to_pylist():
+            word = feature.removesuffix(_END)
+            shorter = (word[:k] for k in reversed(PREFIXES) if k < len(feature) and k <= len(word))
+            share.append(None if feature in odds else next((shares[p] for p in shorter if p in shares), None))
+        return {c: batch.column(c) for c in names} | {"share": share}
+
+    names = ["feature", "toxic", "clean", "toxic_uses", "clean_uses"]
+    longer = map_batches(counts.select(*names), run, "feature string, toxic long, clean long, toxic_uses long, clean_uses long, share double")
+    longer = longer.where("share is not null").withColumn("sigmas", _sigmas(F.col("share")))
+    return odds | odds_of(gathered(longer))
+
+
+def _clean_mean(words: DataFrame, odds: dict[str, float], tokens: int) -> float:
+    """The mean log-odds of clean tokens, over the counted words."""
+
+    def run(batch: pa.RecordBatch) -> dict:
+        return {"x": [token_odds(f.removesuffix(_END), odds) * n for f, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)]}
+
+    return (map_batches(words.select("feature", "clean_uses"), run, "x double").agg(F.sum("x")).first()[0] or 0.0) / max(tokens, 1)
+
+
+def extreme_value(token_scores: tuple[np.ndarray, np.ndarray] | np.ndarray, best: np.ndarray, n: np.ndarray) -> tuple[float, float]:
     """``decay`` and ``ln K`` from the scores of clean tokens (``value, count`` rows) and the best segments of clean texts.
 
     ``decay`` is the positive root of ``E[exp(decay s)] = 1``; ``ln K`` makes the mean of
     ``decay S - ln n`` that of the standard extreme-value law, Euler's constant.
     """
     value, count = token_scores
+    if not count.sum():
+        return 1.0, 0.0
     weight = count / count.sum()
     low, high = 0.0, 1.0
     while (weight * np.exp(np.minimum(700.0, high * value))).sum() < 1 and high < 64:
@@ -246,57 +315,56 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", id_col: str = "d
     A document with several labels counts as toxic if one says so; null labels and null ids teach nothing.
     Where all labelled documents are of one sort or none has a word, every text scores the share of toxic ones, 0 without labels.
     """
-    labelled = F.broadcast(_labelled(labels, id_col, label, sample))
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text")).join(labelled, "doc_id")
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    rows = texts.join(F.broadcast(_labelled(labels, id_col, label, sample)), "doc_id")
+    rows = texts.join(F.broadcast(_distinct(rows)), "doc_id")
     modulus = HELD_OUT[0]
     counts = stage(count_features(rows.where(remainder("doc_id", modulus) != CALIBRATION)).where(f"toxic + clean >= {LEAST} or feature = ''"), "features")
     whole = counts.where("feature = ''").first()
     toxic, clean = (whole["toxic"], whole["clean"]) if whole else (0, 0)
     if not toxic or not clean:
-        return Model({}, 1.0, 0.0, 0.0, math.inf if toxic else -math.inf)
+        return Model({}, DRIFT, 1.0, 0.0, 0.0, math.inf if toxic else -math.inf)
     base = toxic / (toxic + clean)
     if not whole["toxic_uses"] or not whole["clean_uses"]:
-        return Model({}, 1.0, 0.0, 0.0, math.log(base / (1 - base)))
-    n = F.col("toxic") + F.col("clean")
-    sigmas = (F.col("toxic") - n * base) / F.sqrt(n * base * (1 - base))
-    kept = counts.where("feature <> ''").where(F.abs(sigmas) >= SIGMAS).orderBy(F.desc(F.abs(sigmas)), "feature").limit(FEATURES)
-    uses = {r["feature"]: (r["toxic_uses"], r["clean_uses"]) for r in kept.collect()}
-    odds = log_odds(uses, (whole["toxic_uses"], whole["clean_uses"]))
+        return Model({}, DRIFT, 1.0, 0.0, 0.0, math.log(base / (1 - base)))
+    odds = kept_odds(counts.where("feature <> ''"), base, (whole["toxic_uses"], whole["clean_uses"]))
+    drift = DRIFT + max(0.0, _clean_mean(counts.where(F.col("feature").endswith(_END)), odds, whole["clean_uses"]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = _Reader(odds)
+        reader, tokens = _Reader(odds, drift), Counter()
         for batch in text_slices(batches):
-            found = [reader.segments(t.as_py()) for t in batch.column(0)]
-            tokens = [np.unique([reader.known[w] for w in words_of(t.as_py()) if reader.known[w]], return_counts=True) for t in batch.column(0)]
-            yield pa.RecordBatch.from_arrays([
-                batch.column(1), pa.array([n for n, _ in found], pa.int64()),
-                pa.array([[s for _, _, s in x] for _, x in found], pa.list_(pa.float64())),
-                pa.array([v for v, _ in tokens], pa.list_(pa.float64())), pa.array([c for _, c in tokens], pa.list_(pa.int64())),
-            ], names=["toxic", "n", "scores", "value", "count"])
-
-    schema = "toxic int, n long, scores array<double>, value array<double>, count array<long>"
+            found = []
+            for text, toxic in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
+                n, segments = reader.segments(text.as_py())
+                found.append((toxic, n, [s for _, _, s in segments], None, None))
+                if not toxic:
+                    tokens.update(reader.known[w] for w in words_of(text.as_py()))
+            yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*found, strict=True), target, strict=True)], schema=target)
+        yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip((None, None, None, list(tokens), list(tokens.values())), target, strict=True)], schema=target)
+
+    schema = "toxic long, n long, scores array<double>, value array<double>, count array<long>"
+    target = arrow_schema(schema)
     held = stage(rows.where(remainder("doc_id", modulus) == CALIBRATION).select("text", "toxic").mapInArrow(run, schema), "calibration")
-    return calibrate(odds, held, base)
+    return calibrate(odds, drift, held, base)
 
 
-def calibrate(odds: dict[str, float], held: DataFrame, base: float) -> Model:
-    """The model from the scored calibration documents, a bounded sample: one short row of segment scores each."""
-    clean = held.where("toxic = 0")
-    steps = F.explode(F.arrays_zip("value", "count")).alias("t")
-    values = {round(r[0], 6): r[1] for r in clean.select(steps).groupBy(F.round("t.value", 6)).agg(F.sum("t.count")).collect()}
-    rows = held.select("toxic", "n", "scores").toArrow()
+def calibrate(odds: dict[str, float], drift: float, held: DataFrame, base: float) -> Model:
+    """The model from the scored calibration documents, a bounded sample: a short row of segment scores each, and from
+    each task a row with the log-odds of its clean tokens (in hundredths) and their counts."""
+    tokens = held.where("toxic is null").select(F.explode(F.arrays_zip("value", "count")).alias("t"))
+    values = dict(tokens.groupBy("t.value").agg(F.sum("t.count")).collect())
+    rows = held.where("toxic is not null").select("toxic", "n", "scores").toArrow()
     n = rows.column("n").to_numpy().astype(float)
     y = rows.column("toxic").to_numpy().astype(float)
     if not y.size or y.min() == y.max():
-        return Model(odds, 1.0, 0.0, 1.0, math.log(base / (1 - base)))
+        return Model(odds, drift, 1.0, 0.0, 1.0, math.log(base / (1 - base)))
     scores = rows.column("scores").to_pylist()
     best = np.array([max(x, default=0.0) for x in scores])
-    plain = n[y == 0].sum() - sum(values.values())
-    table = np.array([[-DRIFT, *(v - DRIFT for v in values)], [max(plain, 1.0), *values.values()]])
+    table = np.array([[v - drift for v in values], list(values.values())], float)
     decay, log_k = extreme_value(table, best[y == 0], n[y == 0])
     x = np.array([evidence(int(m), s, decay, log_k) for m, s in zip(n, scores, strict=True)])
     slope, intercept = logistic_curve(x, y)
-    return Model(odds, decay, log_k, slope, intercept)
+    return Model(odds, drift, decay, log_k, slope, intercept)
 
 
 # Scoring ---------------------------------------------------------------------------------------------
@@ -311,7 +379,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", id_col: str = "doc_
     scored each; an empty table gives an empty one. Other columns of ``docs`` are not read.
     """
     modulus, rest = HELD_OUT
-    reader = _Reader(model.odds)
+    reader = _Reader(model.odds, model.drift)
 
     def run(batch: pa.RecordBatch) -> dict:
         found = [reader.segments(t.as_py()) for t in batch.column("text")]

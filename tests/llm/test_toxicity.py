@@ -74,7 +74,7 @@ def test_held_out_documents_and_plain_scores(spark, docs):
         for w in words:
             names = [w + "$", *(w[:k] for k in (7, 6, 5, 4, 3) if k <= len(w))]
             odds.append(next((model.odds[f] for f in names if f in model.odds), 0.0))
-        found = brute_segments([x - toxicity.DRIFT for x in odds])
+        found = brute_segments([x - model.drift for x in odds])
         shares = [model.decay * s - model.log_k - math.log(len(words)) for *_, s in found]
         x = sum(s for s in shares if s > 0)
         assert math.isclose(got[i]["score"], 1 / (1 + math.exp(-model.intercept - model.slope * x)), rel_tol=1e-9)
@@ -124,3 +124,20 @@ def test_sample_is_bounded_and_whole_below_the_bound(spark):
     whole = toxicity._labelled(labels, "doc_id", "toxic", 10_000).count()
     assert 3000 < whole < 3400
     assert 300 < toxicity._labelled(labels, "doc_id", "toxic", 400).count() < 520
+
+
+def test_near_copies_are_counted_once(spark, docs):
+    words = [f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(200)]
+    texts = [" ".join([*words[:150], f"edit{chr(97 + i)}", *words[150:]]) for i in range(12)] + ["", None, "own text of few words"]
+    rows = docs(texts).join(spark.range(15).selectExpr("id doc_id", "1 toxic"), "doc_id")
+    kept = {r["doc_id"] for r in toxicity._distinct(rows).collect()}
+    assert 0 in kept and {12, 14} <= kept and 13 not in kept and len(kept) <= 7
+
+
+def test_common_word_does_not_inherit_from_a_toxic_stem(spark):
+    rows = [("los", 300, 300, 900, 900), ("loser", 290, 10, 800, 10), ("loser$", 290, 10, 800, 10), ("los$", 30, 270, 100, 880), ("many$", 100, 900, 1000, 9000)]
+    counts = spark.createDataFrame(rows, "feature string, toxic long, clean long, toxic_uses long, clean_uses long")
+    odds = toxicity.kept_odds(counts, 0.1, (10_000, 90_000))
+    assert set(odds) == {"los", "loser", "loser$", "los$"}
+    assert odds["los$"] < 0.2 and odds["los"] > 2 and odds["loser"] > 5
+    assert toxicity.token_odds("los", odds) < 0.2 < toxicity.token_odds("losers", odds) == odds["loser"]
