@@ -317,16 +317,17 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", id_col: str = "d
     """
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text"))
     rows = texts.join(F.broadcast(_labelled(labels, id_col, label, sample)), "doc_id")
-    rows = texts.join(F.broadcast(_distinct(rows)), "doc_id")
+    distinct = _distinct(rows)
+    n, n_toxic = distinct.agg(F.count("*"), F.sum("toxic")).first()
+    if not n_toxic or n_toxic == n:
+        return Model({}, DRIFT, 1.0, 0.0, 0.0, math.inf if n_toxic else -math.inf)
+    rows = texts.join(F.broadcast(distinct), "doc_id")
     modulus = HELD_OUT[0]
     counts = stage(count_features(rows.where(remainder("doc_id", modulus) != CALIBRATION)).where(f"toxic + clean >= {LEAST} or feature = ''"), "features")
     whole = counts.where("feature = ''").first()
-    toxic, clean = (whole["toxic"], whole["clean"]) if whole else (0, 0)
-    if not toxic or not clean:
-        return Model({}, DRIFT, 1.0, 0.0, 0.0, math.inf if toxic else -math.inf)
-    base = toxic / (toxic + clean)
-    if not whole["toxic_uses"] or not whole["clean_uses"]:
-        return Model({}, DRIFT, 1.0, 0.0, 0.0, math.log(base / (1 - base)))
+    if not whole or not all(whole[1:]):
+        return Model({}, DRIFT, 1.0, 0.0, 0.0, math.log(n_toxic / (n - n_toxic)))
+    base = whole["toxic"] / (whole["toxic"] + whole["clean"])
     odds = kept_odds(counts.where("feature <> ''"), base, (whole["toxic_uses"], whole["clean_uses"]))
     drift = DRIFT + max(0.0, _clean_mean(counts.where(F.col("feature").endswith(_END)), odds, whole["clean_uses"]))
 
