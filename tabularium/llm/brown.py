@@ -13,8 +13,8 @@ so that words do not all chase each other; a part that lowers the likelihood is
 sweep has twice as many parts. Sweeps go on until one gains no more than ``TOLERANCE``. Only a word
 that training never saw has the class of its ending.
 
-Texts are encoded once, in chunks with a local dictionary each. What is shuffled are places and counts
-per distinct word of a chunk, and the encoded chunks (compressed) to meet them.
+Texts are read and encoded once, in chunks with a local dictionary each. What is shuffled are places and counts
+per distinct word of a chunk, and the line of its training words (one compressed row) to meet them.
 """
 
 from __future__ import annotations
@@ -39,7 +39,7 @@ ENDINGS = 255
 CLASSES = 48
 SWEEPS = 6
 HELD_OUT = (5, 1)
-#: UTF-8 bytes of the texts that share a dictionary.
+#: UTF-8 bytes of the words that share a dictionary.
 CHUNK_BYTES = 16 << 20
 #: Entries of chunk dictionaries that share a bucket.
 BUCKET_ENTRIES = 200_000
@@ -66,58 +66,65 @@ def ending_unit(word: bytes) -> int:
 
 
 def encode(docs: DataFrame, text: str = "text", id_col: str = "doc_id", chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """Rows of two sorts: the documents of a slice of a chunk, and ``chunk, words, counts`` of a chunk's dictionary.
+    """Rows of two sorts: the documents of a slice of a chunk, and ``chunk, words, counts, line`` of a whole chunk.
 
-    ``ids`` are the places of the documents' words in the dictionary (32 bit, little-endian, zstd), ``lengths``
-    the words of each document, ``flags`` 1 for a held-out document plus 2 for a null id, ``counts`` how often
-    the words occur in training documents, of which there are ``n_train``.
+    ``ids`` are the places of the documents' words in the chunk's dictionary ``words`` (32 bit, little-endian, zstd),
+    ``lengths`` the words of each document, ``flags`` 1 for a held-out document plus 2 for a null id. ``line`` has the
+    places of all training documents in a row, with -1 before, between and after them, and ``counts`` how often
+    each word occurs there; ``n_train`` is the number of training documents. A chunk ends with the text that fills it,
+    so it has less than ``chunk_bytes`` and one text.
     """
-    schema = "chunk long, n_train long, doc_ids binary, flags binary, lengths binary, ids binary, words array<string>, counts array<long>"
+    schema = "chunk long, n_train long, doc_ids binary, flags binary, lengths binary, ids binary, words array<string>, counts array<long>, line binary"
     target = arrow_schema(schema)
 
     def batch_of(row: tuple) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(row, target, strict=True)], schema=target)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first = TaskContext.get().partitionId() << 24
-        number, size, local = 0, 0, {}
-        counts = np.zeros(0, np.int64)
+        chunk, size, local = TaskContext.get().partitionId() << 24, 0, {}
+        line, rows = [np.array([-1], "<i4")], []
         for batch in text_slices(batches):
-            add, lines = local.setdefault, []
-            for value in batch.column(2):
-                x = value.as_py()
-                lines.append(np.array([add(w, len(local)) for w in words_of(x)], "<i4"))
-                size += len(x or "")
-            if lines:
-                held = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
-                more = np.zeros(len(local), np.int64)
-                more[: counts.size] = counts
-                for h, ids in zip(held, lines, strict=True):
-                    if not h:
-                        np.add.at(more, ids, 1)
-                counts = more
-                null = batch.column(0).is_null().to_numpy(zero_copy_only=False)
-                doc_ids = batch.column(0).fill_null(0).to_numpy(zero_copy_only=False).astype("<i8")
-                lengths = np.array([x.size for x in lines], "<i8")
-                yield batch_of((
-                    first + number, int((~held).sum()), doc_ids.tobytes(), (held + 2 * null).astype(np.uint8).tobytes(), lengths.tobytes(),
-                    pa.compress(np.concatenate(lines).tobytes(), "zstd", asbytes=True), None, None,
-                ))
-            if size >= chunk_bytes:
-                yield dictionary(first + number, local, counts)
-                number, size, local, counts = number + 1, 0, {}, np.zeros(0, np.int64)
+            for doc_id, held, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+                words = words_of(value.as_py())
+                ids = np.array([local.setdefault(w, len(local)) for w in words], "<i4")
+                size += sum(map(len, words)) + len(words)
+                rows.append((doc_id or 0, held + 2 * (doc_id is None), ids))
+                if not held:
+                    line += [ids, np.array([-1], "<i4")]
+                if size >= chunk_bytes:
+                    yield documents(chunk, rows)
+                    yield dictionary(chunk, local, line)
+                    chunk, size, local = chunk + 1, 0, {}
+                    line, rows = [np.array([-1], "<i4")], []
+            if rows:
+                yield documents(chunk, rows)
+                rows = []
         if local:
-            yield dictionary(first + number, local, counts)
+            yield dictionary(chunk, local, line)
 
-    def dictionary(chunk: int, local: dict[bytes, int], counts: np.ndarray) -> pa.RecordBatch:
-        padded = np.concatenate((counts, np.zeros(len(local) - counts.size, np.int64)))
-        return batch_of((chunk, None, None, None, None, None, [w.decode("utf-8", "replace") for w in local], padded))
+    def documents(chunk: int, rows: list[tuple]) -> pa.RecordBatch:
+        doc_ids, flags, lines = zip(*rows, strict=True)
+        lengths = np.array([x.size for x in lines], "<i8")
+        ids = pa.compress(np.concatenate(lines).tobytes(), "zstd", asbytes=True)
+        n_train = sum(not f & 1 for f in flags)
+        return batch_of((chunk, n_train, np.array(doc_ids, "<i8").tobytes(), np.array(flags, np.uint8).tobytes(), lengths.tobytes(), ids, None, None, None))
+
+    def dictionary(chunk: int, local: dict[bytes, int], line: list[np.ndarray]) -> pa.RecordBatch:
+        whole = np.concatenate(line)
+        counts = np.bincount(whole[whole >= 0], minlength=len(local)).astype(np.int64)
+        words = [w.decode("utf-8", "replace") for w in local]
+        return batch_of((chunk, None, None, None, None, None, words, counts, pa.compress(whole.tobytes(), "zstd", asbytes=True)))
 
     modulus, rest = HELD_OUT
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), (remainder(id_col, modulus) == rest).alias("held_out"), F.col(text))
     return rows.mapInArrow(run, schema)
 
 
+def _line(data: bytes) -> np.ndarray:
+    """The places of a chunk's training documents."""
+    return np.frombuffer(pa.input_stream(pa.BufferReader(data), compression="zstd").read(), "<i4")
+
+
 def _documents(slices: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """Ids, flags, ends and words of the documents of each slice."""
     for doc_ids, flags, lengths, data in zip(slices["doc_ids"], slices["flags"], slices["lengths"], slices["ids"], strict=True):
@@ -126,27 +133,23 @@ def _documents(slices: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray, n
         yield np.frombuffer(doc_ids, "<i8"), np.frombuffer(flags, np.uint8), ends, ids
 
 
-def unit_bigrams(docs: DataFrame, units: dict[bytes, int], text: str = "text", id_col: str = "doc_id") -> np.ndarray:
+def unit_bigrams(coded: DataFrame, units: dict[bytes, int]) -> np.ndarray:
     """Counts of neighbouring units in the training documents, with the boundary before and after each; a table of fixed size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, known = np.zeros(UNITS * UNITS, np.int64), units.get
-        for batch in text_slices(batches):
-            line = [_BOUNDARY]
-            for value in batch.column(0):
-                for w in words_of(value.as_py()):
-                    unit = known(w)
-                    line.append(ending_unit(w) if unit is None else unit)
-                line.append(_BOUNDARY)
-            code = np.array(line, np.int64)
-            total += np.bincount(code[:-1] * UNITS + code[1:], minlength=UNITS * UNITS)
+        for batch in batches:
+            for words, line in zip(batch.column(0), batch.column(1), strict=True):
+                own = [w.encode("utf-8", "surrogatepass") for w in words.as_py()]
+                unit = np.array([ending_unit(w) if (u := known(w)) is None else u for w in own] + [_BOUNDARY], np.int64)
+                code = unit[_line(line.as_py())]
+                total += np.bincount(code[:-1] * UNITS + code[1:], minlength=UNITS * UNITS)
         found = np.flatnonzero(total)
         for i in range(0, found.size, 100_000):
             part = found[i : i + 100_000]
             yield pa.RecordBatch.from_pydict({"pair": part, "n": total[part]})
 
-    modulus, rest = HELD_OUT
-    rows = docs.where(remainder(id_col, modulus) != rest).select(F.coalesce(F.col(text), F.lit("")).alias("t"))
+    rows = coded.where("words is not null").select("words", "line")
     pairs = rows.mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
     table = np.zeros(UNITS * UNITS)
     table[pairs.column("pair").to_numpy()] = pairs.column("n").to_numpy()
@@ -252,31 +255,26 @@ def neighbour_counts(coded: DataFrame, placed: DataFrame, classes: int, part: in
     """The classes before and after one part of the words in each chunk's training documents, and the class bigrams of all of them."""
     codes = 2 * classes + 1
 
-    def run(slices: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
+    def run(lines: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         place = _joined(rows["place"], "<i4")
-        rank = np.zeros(place.size + 1, np.int64)
-        rank[place] = np.arange(place.size)
-        rank[-1] = place.size
-        label = np.append(_joined(rows["class"], "<u2").astype(np.int64), 0)
-        line = [np.array([place.size])]
-        for _, flags, ends, ids in _documents(slices):
-            trained = (flags & 1) == 0
-            lengths = np.diff(ends, prepend=0)
-            kept = ids[np.repeat(trained, lengths)]
-            line.append(rank[np.insert(kept, np.cumsum(lengths[trained]), place.size)])
-        line = np.concatenate(line)
-        left, right, kind = line[:-1], line[1:], label[line]
-        grid = np.bincount(kind[:-1] * classes + kind[1:], minlength=classes * classes)
-        own = left == right
-        wanted = np.append(_joined(rows["word"], "<i4") % parts == part, False)
-        after, before, own = ~own & wanted[left], ~own & wanted[right], own & wanted[left]
+        label = np.zeros(place.size + 1, np.uint8 if classes <= 256 else np.uint16)
+        label[place] = _joined(rows["class"], "<u2")
+        rank = np.full(place.size + 1, place.size, np.uint32 if (place.size + 1) * codes < 1 << 32 else np.int64)
+        rank[place] = np.arange(place.size, dtype=rank.dtype)
+        wanted = np.zeros(place.size + 1, bool)
+        wanted[place] = _joined(rows["word"], "<i4") % parts == part
+        line = _line(lines["line"].iloc[0])  # -1 is the boundary, the last entry of each table
+        kind, mine = label[line], wanted[line]
+        grid = np.bincount(kind[:-1].astype(np.int64) * classes + kind[1:], minlength=classes * classes)
+        own = line[:-1] == line[1:]
+        after, before, own = np.flatnonzero(mine[:-1] & ~own), np.flatnonzero(mine[1:] & ~own), np.flatnonzero(mine[:-1] & own)
         key = np.concatenate((
-            right[before] * codes + kind[:-1][before], left[after] * codes + classes + kind[1:][after],
-            left[own] * codes + 2 * classes,
+            rank[line[1:][before]] * codes + kind[:-1][before], rank[line[:-1][after]] * codes + classes + kind[1:][after],
+            rank[line[:-1][own]] * codes + 2 * classes,
         ))
         key, n = np.unique(key, return_counts=True)
         entry, code, n = key // codes, (key % codes).astype("<u2"), n.astype("<i4")
-        n_codes = np.bincount(entry, minlength=place.size).astype("<u2")
+        n_codes = np.bincount(entry.astype(np.int64), minlength=place.size).astype("<u2")
         sizes = np.array([len(p) // 4 for p in rows["place"]], np.int64)
         ends = np.cumsum(sizes)
         stops = np.searchsorted(entry, ends)
@@ -289,8 +287,8 @@ def neighbour_counts(coded: DataFrame, placed: DataFrame, classes: int, part: in
         last = pd.DataFrame([(None, None, None, None, None, None, None, None, grid)], columns=out.columns)
         return pd.concat([out.astype({"bucket": "Int64", "chunk": "Int64"}), last.astype({"bucket": "Int64", "chunk": "Int64"})])
 
-    slices = coded.where("ids is not null").select(F.col("chunk").alias("part"), "doc_ids", "flags", "lengths", "ids")
-    return slices.groupBy("part").cogroup(placed.groupBy("chunk")).applyInPandas(run, _COUNTED)
+    lines = coded.where("words is not null").select(F.col("chunk").alias("part"), "line")
+    return lines.groupBy("part").cogroup(placed.groupBy("chunk")).applyInPandas(run, _COUNTED)
 
 
 def best_classes(grid: np.ndarray, label: np.ndarray, word: np.ndarray, code: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -301,7 +299,8 @@ def best_classes(grid: np.ndarray, label: np.ndarray, word: np.ndarray, code: np
     classes = grid.shape[0]
     best = label.copy()
     rows, columns = grid.sum(axis=1), grid.sum(axis=0)
-    held = _h(np.diagonal(grid))
+    whole_held = _h(grid)
+    held = np.diagonal(whole_held)
     seen = np.flatnonzero(np.bincount(word, minlength=label.size))
     for first in range(0, seen.size, 2048):
         chosen = seen[first : first + 2048]
@@ -315,12 +314,13 @@ def best_classes(grid: np.ndarray, label: np.ndarray, word: np.ndarray, code: np
         for side, other, toward in ((after, before, True), (before, after, False)):
             e = (k >= classes) & (k < 2 * classes) if toward else k < classes
             v, j, c = w[e], k[e] - classes * toward, x[e]
-            cells = (grid.T if toward else grid)[j].copy()
+            cells, old = (grid.T if toward else grid)[j], (whole_held.T if toward else whole_held)[j]
             home = a[v]
-            back = j == home
+            back, row = j == home, np.arange(v.size)
             cells[back] -= other[v[back]]
-            cells[np.arange(v.size), home] -= c + back * own[v]
-            terms = _h(cells + c[:, None]) - _h(cells)
+            cells[row, home] -= c + back * own[v]
+            old[back], old[row, home] = _h(cells[back]), _h(cells[row, home])
+            terms = _h(cells + c[:, None]) - old
             terms[np.arange(v.size), j] = 0
             some, begin = np.unique(v, return_index=True)
             gain[some] += np.add.reduceat(terms, begin, axis=0) if v.size else 0
@@ -448,12 +448,12 @@ def _transitions(grid: np.ndarray) -> np.ndarray:
 # Fitting and scoring ---------------------------------------------------------------------------------
 
 
-def _fit(docs: DataFrame, coded: DataFrame, text: str, id_col: str, classes: int, sweeps: int) -> tuple[Model, DataFrame]:
+def _fit(coded: DataFrame, classes: int, sweeps: int) -> tuple[Model, DataFrame]:
     members = stage(_members(coded), "members")
     vocabulary = members.where("chunk is null").select(F.explode(F.arrays_zip("words", "counts")).alias("w")).where("w.counts > 0")
     top = vocabulary.select(F.col("w.words").alias("word"), F.col("w.counts").alias("c")).orderBy(F.desc("c"), "word").limit(TOP).collect()
     units = {r["word"].encode("utf-8", "surrogatepass"): i for i, r in enumerate(top)}
-    label = exchange(unit_bigrams(docs, units, text, id_col), classes, sweeps)
+    label = exchange(unit_bigrams(coded, units), classes, sweeps)
     placed, grid = sweep(coded, _start(members, units, label), classes)
     final = stage(_final(members, placed, label), "classes")
     class_tokens, class_words = np.zeros(classes), np.zeros(classes)
@@ -472,12 +472,12 @@ def _words(final: DataFrame) -> DataFrame:
     return rows.select(F.col("w.words").alias("word"), F.col("w.counts").alias("c"), F.col("w.classes").cast("int").alias("class"))
 
 
-def fit(docs: DataFrame, coded: DataFrame, text: str = "text", id_col: str = "doc_id", classes: int = CLASSES, sweeps: int = SWEEPS) -> tuple[Model, DataFrame]:
+def fit(coded: DataFrame, classes: int = CLASSES, sweeps: int = SWEEPS) -> tuple[Model, DataFrame]:
     """The model and the table ``word, c, class`` of all words of the training documents (``coded`` is from ``encode``).
 
     ``sweeps`` bounds those of the start on the driver; the distributed ones go on until they gain no more.
     """
-    model, final = _fit(docs, coded, text, id_col, classes, sweeps)
+    model, final = _fit(coded, classes, sweeps)
     return model, _words(final)
 
 
@@ -490,7 +490,7 @@ def score(docs: DataFrame, text: str = "text", id_col: str = "doc_id", classes:
     gives an empty one.
     """
     coded = stage(encode(docs, text, id_col, chunk_bytes), "encoded")
-    model, final = _fit(docs, coded, text, id_col, classes, sweeps)
+    model, final = _fit(coded, classes, sweeps)
     tokens, distinct, documents = model.tokens, model.distinct, model.documents
     steps, class_tokens, class_words = model.transitions, model.class_tokens, model.class_words
     scale = np.log10(tokens + 0.5 * (distinct + 1))

@@ -127,7 +127,7 @@ def test_exchange_never_lowers_the_likelihood():
 
 def test_probabilities_add_up(docs):
     table = docs([(10 + i, "a b c a d " * 4) for i in range(20)])
-    model, words = brown.fit(table, brown.encode(table))
+    model, words = brown.fit(brown.encode(table))
     assert np.allclose((10**model.transitions).sum(axis=1), 1)
     for k in range(1, brown.CLASSES):
         if model.class_words[k]:
