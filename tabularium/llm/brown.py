@@ -27,7 +27,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabularium.llm.common import arrow_schema, remainder, stage, text_slices
@@ -364,6 +364,11 @@ def likelihood(grid: np.ndarray) -> float:
     return float(_h(grid).sum() - _h(grid.sum(axis=0)).sum() - _h(grid.sum(axis=1)).sum())
 
 
+def _forget(spark: SparkSession) -> None:
+    """Let the driver's collector find past jobs unused: Spark then deletes their shuffle files on all executors."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def sweep(coded: DataFrame, placed: DataFrame, classes: int) -> tuple[DataFrame, np.ndarray]:
     """The placed entries with the classes after the last sweep, and the class bigrams under them."""
 
@@ -375,6 +380,7 @@ def sweep(coded: DataFrame, placed: DataFrame, classes: int) -> tuple[DataFrame,
         cells = counted.where("bucket is null").select(F.posexplode("grid").alias("cell", "n")).groupBy("cell").agg(F.sum("n"))
         for cell, n in cells.collect():
             grid[cell] = n
+        _forget(spark)
         return counted, grid.reshape(classes, classes)
 
     def drop(counted: DataFrame) -> None:
@@ -400,8 +406,6 @@ def sweep(coded: DataFrame, placed: DataFrame, classes: int) -> tuple[DataFrame,
             counted, grid, gain = new, new_grid, gain + more
         # Part 0 of twice as many parts lies within the part 0 that was counted.
         parts *= 1 + fell
-        # Spark deletes the shuffle files of past sweeps when the driver's collector finds them unused.
-        spark.sparkContext._jvm.System.gc()
     return placed_of(counted), grid
 
 
@@ -450,10 +454,13 @@ def _transitions(grid: np.ndarray) -> np.ndarray:
 
 def _fit(coded: DataFrame, classes: int, sweeps: int) -> tuple[Model, DataFrame]:
     members = stage(_members(coded), "members")
+    _forget(coded.sparkSession)
     vocabulary = members.where("chunk is null").select(F.explode(F.arrays_zip("words", "counts")).alias("w")).where("w.counts > 0")
     top = vocabulary.select(F.col("w.words").alias("word"), F.col("w.counts").alias("c")).orderBy(F.desc("c"), "word").limit(TOP).collect()
     units = {r["word"].encode("utf-8", "surrogatepass"): i for i, r in enumerate(top)}
-    label = exchange(unit_bigrams(coded, units), classes, sweeps)
+    bigrams = unit_bigrams(coded, units)
+    _forget(coded.sparkSession)
+    label = exchange(bigrams, classes, sweeps)
     placed, grid = sweep(coded, _start(members, units, label), classes)
     final = stage(_final(members, placed, label), "classes")
     class_tokens, class_words = np.zeros(classes), np.zeros(classes)
