@@ -97,10 +97,6 @@ def enrich_files(
 
     "First" and "last" go by file name and by place in the file.
     """
-    place = ["__file", "__block", "__line"]
-    rows = read_headed_csv(spark, companies).select(
-        "*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__block"),
-        F.monotonically_increasing_id().alias("__line"),
-    )
+    rows = read_headed_csv(spark, companies, place="__place")
     found = page_results(pages, [page_key, *page_order], layout)
-    write_headed_csv(enrich(rows, found, place, page_key, page_order), target, key=NAME, mode=mode)
+    write_headed_csv(enrich(rows, found, ["__place"], page_key, page_order), target, key=NAME, mode=mode)

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tabularium.operators.clean import drop_missing
 from tabularium.operators.names import as_list, col
+from tabularium.sources.quoted import ASCII_BASED, read_split
 
 # Column that holds the raw line of a row that did not fit the schema.
 REJECTED = "_rejected"
@@ -77,15 +78,29 @@ def read_headed_csv(
     paths: str | Iterable[str],
     sep: str = ",",
     encoding: str = "UTF-8",
-    multi_line: bool = True,
+    multi_line: bool | str = True,
+    place: str | None = None,
 ) -> DataFrame:
-    """Files with a header; every column is text.
-
-    Line breaks inside quoted fields are part of the value, so a file is read by one task; give
-    ``multi_line=False`` to split large files that are known to have none.
+    """Files with a header; every column is text, beside ``place``: the file and a row's order in it, as a struct.
+
+    Line breaks inside quoted fields are part of the value. Large files are still read by many tasks: the
+    quotes of all byte ranges are counted first (one job), which tells each range whether it starts inside a
+    field (see ``quoted``). That needs files in which quotes inside fields are doubled and unquoted fields
+    have none. Where a file's quotes do not pair up, or the encoding is not based on ASCII, every file is read
+    by one task as with ``multi_line="file"``; a stray quote that opens a record raises an error
+    that names the file. ``multi_line=False`` takes every line for a record, in one pass.
     """
-    reader = spark.read.option("header", True).option("sep", sep).option("encoding", encoding)
-    return reader.option("escape", '"').option("multiLine", multi_line).csv(as_list(paths))
+    paths = as_list(paths)
+    reader = spark.read.option("header", True).option("sep", sep).option("encoding", encoding).option("escape", '"')
+    plain = reader.option("multiLine", bool(multi_line)).csv(paths)
+    names = plain.columns
+    if place:
+        block = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")]
+        plain = plain.select("*", F.struct(*block, F.monotonically_increasing_id().alias("line")).alias(place))
+    if multi_line is not True or not ASCII_BASED.fullmatch(encoding) or not names:
+        return plain
+    found = read_split(spark, paths, names, sep, encoding, place)
+    return plain if found is None else found
 
 
 def write_headed_csv(

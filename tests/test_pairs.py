@@ -27,7 +27,7 @@ def test_query_agrees_with_its_sql(spark, con, name):
 def test_flagship(spark):
     df = entry.entry(spark)
     assert df.columns == ["key14", "key8", "start", "company", "city", "state", "kind", "since"]
-    assert df.count() == 915
+    assert df.count() == 2290
 
 
 def test_no_python_in_any_plan(spark, plan):
