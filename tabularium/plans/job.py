@@ -18,8 +18,10 @@ from tabularium.session import remove_path, scratch_path
 from tabularium.sources import schemas
 from tabularium.sources.delimited import read_delimited, read_lookup, reject_counts
 from tabularium.sources.partitioned import OVERWRITE_PARTITIONS, write_partitioned
+from tabularium.sources.snapshot import publish
 
 COMPANY_KEY = "CNPJ BASICO"
+PUBLISH = "publish"
 PARTITION_COLUMNS = ["UF", "MUNICIPIO"]
 # Columns that tell the rows of one company apart, per table.
 SPREAD = [["CNPJ"], ["RAZAO SOCIAL"], ["NOME SOCIO", "CNPJ/CPF DO SOCIO"]]
@@ -122,6 +124,10 @@ def consolidate_files(
 ) -> None:
     """Read, clean, merge and write by state and city. Running it again leaves the same table.
 
+    With ``mode="publish"`` the result becomes the next version of a published table at ``target``: cities that are no
+    longer delivered are gone, and a job that dies half-way leaves the last version. The other modes
+    are those of ``write_partitioned``.
+
     The merge looks at its keys before it joins. With ``stage`` the clean tables are written to the
     shared scratch folder first, so the text files are parsed once, counting reads a few Parquet
     columns, and an executor lost in the merge costs no new parsing. The staged tables are removed
@@ -136,7 +142,10 @@ def consolidate_files(
             frames = tuple(staged(df, f"{root}/{name}") for name, df in zip(names, frames, strict=True))
         merged = consolidate(*frames, COMPANY_KEY, spread=SPREAD, rows_per_task=rows_per_task)
         leaf_rows = consolidation_profile(*frames, COMPANY_KEY, PARTITION_COLUMNS, "CNPJ")
-        write_partitioned(merged, target, PARTITION_COLUMNS, mode, leaf_rows=leaf_rows)
+        if mode == PUBLISH:
+            publish(merged, target, PARTITION_COLUMNS, leaf_rows=leaf_rows)
+        else:
+            write_partitioned(merged, target, PARTITION_COLUMNS, mode, leaf_rows=leaf_rows)
     finally:
         if root:
             remove_path(spark, root)

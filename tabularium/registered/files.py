@@ -132,6 +132,26 @@ def partition_roundtrip(t: StarSchema) -> DataFrame:
     return op.row_counts(src.read_partition(t.spark, path, state="ASIA"), "city").toDF("city", "n")
 
 
+@registered("""
+select r_name state, n_name city, count(*) n, max(c_acctbal) highest
+from customer join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey
+where r_name in ('ASIA', 'EUROPE') and (n_name <> 'FRANCE' or c_custkey % 2 = 0) or n_name = 'BRAZIL'
+group by 1, 2
+""")
+def snapshot_publish(t: StarSchema) -> DataFrame:
+    """Publish all customers, then fewer in their place, one city anew and one more; read the last state."""
+    path = scratch_path(t.spark, "published")
+    nation = t.table("nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_regionkey", F.col("n_name").alias("city"))
+    region = t.table("region").select(F.col("r_regionkey").alias("n_regionkey"), F.col("r_name").alias("state"))
+    placed = op.join_lookups(t.table("customer"), [(nation, "c_nationkey"), (region, "n_regionkey")])
+    src.publish(placed, path, ["state", "city"])
+    src.publish(placed.where("state in ('ASIA', 'EUROPE')"), path, ["state", "city"])
+    src.publish(placed.where("city = 'FRANCE' and c_custkey % 2 = 0"), path, ["state", "city"], "overwrite_partitions")
+    src.publish(placed.where("city = 'BRAZIL'"), path, ["state", "city"], "append")
+    rows = src.read_snapshot(t.spark, path)
+    return rows.groupBy("state", "city").agg(F.count("*").alias("n"), F.max("c_acctbal").alias("highest"))
+
+
 @registered("""
 select o_orderstatus, count(*) n, min(o_totalprice) lowest, max(o_totalprice) highest from orders group by 1
 """)

@@ -11,3 +11,4 @@ from tabularium.sources.delimited import (
 from tabularium.sources.inventory import file_inventory, list_files
 from tabularium.sources import schemas
 from tabularium.sources.partitioned import read_partition, save_table, write_partitioned
+from tabularium.sources.snapshot import is_snapshot, publish, read_snapshot, remove_versions, versions
