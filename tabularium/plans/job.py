@@ -16,12 +16,13 @@ from tabularium.operators.names import col
 from tabularium.plans import registry
 from tabularium.session import remove_path, scratch_path
 from tabularium.sources import schemas
-from tabularium.sources.delimited import read_delimited, read_lookup, reject_counts
+from tabularium.sources.delimited import REJECTED, read_delimited, read_lookup, reject_counts
 from tabularium.sources.partitioned import OVERWRITE_PARTITIONS, write_partitioned
 from tabularium.sources.snapshot import publish
 
 COMPANY_KEY = "CNPJ BASICO"
 PUBLISH = "publish"
+_FILE = "__file"
 PARTITION_COLUMNS = ["UF", "MUNICIPIO"]
 # Columns that tell the rows of one company apart, per table.
 SPREAD = [["CNPJ"], ["RAZAO SOCIAL"], ["NOME SOCIO", "CNPJ/CPF DO SOCIO"]]
@@ -53,7 +54,10 @@ class RegistryFiles:
 
 def read_registry(spark: SparkSession, files: RegistryFiles) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Clean establishments, companies and partners. Runs one job per table to measure its lookups."""
-    tables = _raw(spark, files)
+    return _clean(_raw(spark, files))
+
+
+def _clean(tables: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame, DataFrame]:
     establishments = registry.establishments(*(tables[n] for n in ("establishments", "countries", "cities", "activities")))
     companies = registry.companies(*(tables[n] for n in ("companies", "qualifications", "legal_natures")))
     return establishments, companies, registry.partners(tables["partners"], tables["qualifications"])
@@ -87,27 +91,47 @@ def _raw(spark: SparkSession, files: RegistryFiles) -> dict[str, DataFrame]:
     }
 
 
-def job_counts(spark: SparkSession, files: RegistryFiles) -> DataFrame:
-    """``what, code, n_rows``: lines that do not fit their layout, and rows that a lookup drops, by its missing code.
+_FACTS = {"establishments": schemas.ESTABLISHMENTS, "companies": schemas.COMPANIES, "partners": schemas.PARTNERS}
+_LOOKUPS = (
+    ("establishments", "cities", "CODIGO_MUNICIPIO"), ("establishments", "countries", "CODIGO_PAIS"),
+    ("establishments", "activities", "CNAE PRINCIPAL"), ("companies", "qualifications", "COD QUALIFICACAO SOCIO"),
+    ("companies", "legal_natures", "COD NATUREZA JURIDICA"), ("partners", "qualifications", "COD QUALIFICACAO SOCIO"),
+)
 
-    Rows are counted as they are read, before the other clean-up. Nothing is gathered but counts.
-    """
-    tables = _raw(spark, files)
-    parts = []
-    for name, schema in (("establishments", schemas.ESTABLISHMENTS), ("companies", schemas.COMPANIES), ("partners", schemas.PARTNERS)):
-        rejected = reject_counts(_fact(spark, files, getattr(files, name), schema, rejects=True))
-        parts.append(rejected.select(F.lit(f"{name}: rejected").alias("what"), F.col("file").alias("code"), F.col("n_rejected").alias("n_rows")))
-    used = (
-        ("establishments", "cities", "CODIGO_MUNICIPIO"), ("establishments", "countries", "CODIGO_PAIS"),
-        ("establishments", "activities", "CNAE PRINCIPAL"), ("companies", "qualifications", "COD QUALIFICACAO SOCIO"),
-        ("companies", "legal_natures", "COD NATUREZA JURIDICA"), ("partners", "qualifications", "COD QUALIFICACAO SOCIO"),
-    )
-    for fact, name, key in used:
+
+def _counts(tables: dict[str, DataFrame], rejected: dict[str, DataFrame]) -> DataFrame:
+    """The counts of raw tables, and of ``file, n_rejected`` frames for each fact table."""
+    parts = [
+        df.select(F.lit(f"{name}: rejected").alias("what"), F.col("file").alias("code"), F.col("n_rejected").alias("n_rows"))
+        for name, df in rejected.items()
+    ]
+    for fact, name, key in _LOOKUPS:
         missed = lookup_misses(tables[fact], tables[name], key)
         parts.append(missed.select(F.lit(f"{fact}: not in {name}").alias("what"), col(key).cast("string").alias("code"), "n_rows"))
     return reduce(DataFrame.unionByName, parts).where("n_rows > 0")
 
 
+def job_counts(spark: SparkSession, files: RegistryFiles) -> DataFrame:
+    """``what, code, n_rows``: lines that do not fit their layout, and rows that a lookup drops, by its missing code.
+
+    Rows are counted as they are read, before the other clean-up. Nothing is gathered but counts. This parses the
+    text files anew; ``consolidate_files`` can count the rows of the job itself.
+    """
+    rejected = {n: reject_counts(_fact(spark, files, getattr(files, n), schema, rejects=True)) for n, schema in _FACTS.items()}
+    return _counts(_raw(spark, files), rejected)
+
+
+def _parsed(spark: SparkSession, files: RegistryFiles, folder: str) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    """The raw tables with the fact tables parsed once and staged, and the rejected lines of each file."""
+    tables, rejected = _raw(spark, files), {}
+    for name, schema in _FACTS.items():
+        raw = _fact(spark, files, getattr(files, name), schema, rejects=True)
+        whole = staged(raw.select("*", F.col("_metadata.file_path").alias(_FILE)), f"{folder}/{name}")
+        tables[name] = whole.drop(REJECTED, _FILE)
+        rejected[name] = whole.groupBy(F.col(_FILE).alias("file")).agg(F.count(col(REJECTED)).alias("n_rejected"))
+    return tables, rejected
+
+
 def staged(df: DataFrame, folder: str) -> DataFrame:
     """Write ``df`` as Parquet and go on from there."""
     df.write.parquet(folder)
@@ -121,7 +145,8 @@ def consolidate_files(
     mode: str = OVERWRITE_PARTITIONS,
     rows_per_task: int | None = ROWS_PER_TASK,
     stage: bool = True,
-) -> None:
+    counts: str | None = None,
+) -> DataFrame | None:
     """Read, clean, merge and write by state and city. Running it again leaves the same table.
 
     With ``mode="publish"`` the result becomes the next version of a published table at ``target``: cities that are no
@@ -132,12 +157,20 @@ def consolidate_files(
     shared scratch folder first, so the text files are parsed once, counting reads a few Parquet
     columns, and an executor lost in the merge costs no new parsing. The staged tables are removed
     at the end. Rows per folder are counted from the tables' keys, without building the merge.
-    :func:`job_counts` tells what was rejected and dropped.
+
+    ``counts`` is a folder for the counts of :func:`job_counts`, which are then returned too. They are taken from
+    the rows this job reads: the parsed lines are staged once, and counted and cleaned from there, so a task
+    that ran twice counts once and the text is still parsed once.
     """
-    frames = read_registry(spark, files)
-    root = scratch_path(spark, "registry-stage") if stage else None
+    root = scratch_path(spark, "registry-stage") if stage or counts else None
     try:
-        if root:
+        if counts:
+            tables, rejected = _parsed(spark, files, f"{root}/parsed")
+            _counts(tables, rejected).write.mode("overwrite").parquet(counts)
+            frames = _clean(tables)
+        else:
+            frames = read_registry(spark, files)
+        if stage:
             names = ("establishments", "companies", "partners")
             frames = tuple(staged(df, f"{root}/{name}") for name, df in zip(names, frames, strict=True))
         merged = consolidate(*frames, COMPANY_KEY, spread=SPREAD, rows_per_task=rows_per_task)
@@ -149,3 +182,4 @@ def consolidate_files(
     finally:
         if root:
             remove_path(spark, root)
+    return spark.read.parquet(counts) if counts else None

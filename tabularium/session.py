@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Mapping
 
@@ -43,14 +44,25 @@ def new_session(app_name: str, conf: Mapping[str, str] | None = None) -> SparkSe
     return session
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder name below the shared checkpoint folder.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share: ``spark.checkpoint.dir``, or one in the warehouse where that is unset.
 
-    ``spark.checkpoint.dir`` is read from the session; where it is unset the folder lies in the
-    warehouse, which executors share as well. Never a machine-local temporary folder.
+    A warehouse on local disks is no shared folder once there are executors on other machines: each would write
+    to its own disk and rows would be lost without an error, so this raises there.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder.rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    local = not re.match(r"(?!file:)[A-Za-z][A-Za-z0-9+.-]+:", warehouse)
+    if local and not re.match(r"local(\[|$)", spark.conf.get("spark.master", "local")):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share; the warehouse is a local folder")
+    return f"{warehouse.rstrip('/')}/_scratch"
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder name below :func:`shared_folder`."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def remove_path(spark: SparkSession, path: str) -> None:

@@ -230,6 +230,26 @@ def test_counts_of_dropped_and_rejected_rows(spark, files):
     assert found and all(n > 0 for n in found.values())
 
 
+def test_the_job_counts_the_rows_it_reads(spark, files, tmp_path):
+    for stage in (True, False):
+        counts = plans.consolidate_files(spark, files, str(tmp_path / f"out{stage}"), stage=stage, counts=str(tmp_path / f"counts{stage}"))
+        assert Counter(map(tuple, counts.collect())) == Counter(map(tuple, plans.job_counts(spark, files).collect()))
+        assert src.read_partition(spark, str(tmp_path / f"out{stage}")).count() == 5
+    assert plans.consolidate_files(spark, files, str(tmp_path / "out")) is None
+    scratch = spark.conf.get("spark.checkpoint.dir")
+    assert not [d for d in os.listdir(scratch) if d.startswith("registry-stage")]
+
+
+def test_a_published_job(spark, files, tmp_path):
+    target = str(tmp_path / "out")
+    for _ in range(2):
+        plans.consolidate_files(spark, files, target, mode="publish")
+    assert src.versions(spark, target) == [1, 2] and src.read_snapshot(spark, target).count() == 5
+    got = plans.state_extract(spark, target, "PR", ["NOME SOCIO", "CNPJ/CPF DO SOCIO"])
+    assert sorted((r["CNPJ"], r["NOME SOCIO"]) for r in got.collect()) == [
+        ("00000012000105", "-"), ("00000022000105", "D"), ("00000033000105", "E")]
+
+
 def test_state_extract(spark, files, tmp_path, plan):
     target = str(tmp_path / "out")
     plans.consolidate_files(spark, files, target)

@@ -197,9 +197,26 @@ def test_scratch_is_below_the_shared_folder(spark):
     assert one.startswith(f"{base}/x-") and one != two
 
 
-def test_without_the_setting_scratch_is_in_the_warehouse(spark):
+def session_with(**settings):
+    """A session of which only the settings are looked at."""
+    names = {"master": "spark.master", "warehouse": "spark.sql.warehouse.dir", "shared": "spark.checkpoint.dir"}
+    held = {names[k]: v for k, v in settings.items()}
+
     class Session:
         class conf:
-            get = staticmethod(lambda name, *default: default[0] if default else "hdfs://x/warehouse")
+            get = staticmethod(lambda name, *default: held[name] if name in held or not default else default[0])
+
+    return Session
+
+
+def test_without_the_setting_scratch_is_in_the_warehouse():
+    assert ses.scratch_path(session_with(warehouse="hdfs://x/warehouse", master="yarn"), "x").startswith("hdfs://x/warehouse/_scratch/x-")
+    assert ses.scratch_path(session_with(warehouse="file:/w", master="local[8]"), "x").startswith("file:/w/_scratch/x-")
+
 
-    assert ses.scratch_path(Session, "x").startswith("hdfs://x/warehouse/_scratch/x-")
+@pytest.mark.parametrize("warehouse", ["file:/home/me/spark-warehouse", "/home/me/spark-warehouse", "file:///w"])
+@pytest.mark.parametrize("master", ["yarn", "spark://host:7077", "local-cluster[3,2,1024]", "k8s://https://x"])
+def test_a_local_warehouse_is_no_shared_folder_on_a_cluster(warehouse, master):
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        ses.scratch_path(session_with(warehouse=warehouse, master=master), "x")
+    assert ses.scratch_path(session_with(warehouse=warehouse, master=master, shared="hdfs://x/c/"), "x").startswith("hdfs://x/c/x-")
