@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabularium.session import scratch_path
+
 #: Words are runs of anything but these white-space characters (space, tab to carriage return).
 WORD_BREAK = r"[\x20\x09-\x0D]+"
 
@@ -18,14 +19,9 @@ LARGE_KEYS = 10_000
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``, or one in the warehouse where that is unset."""
-    return (spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch").rstrip("/")
-
-
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write a frame to the shared folder and read it back: its rows are fixed and survive lost executors."""
-    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
