@@ -8,7 +8,8 @@ join as usual. The joins of all tables then run on (key, cell) and share one par
 
 Which keys are large is found first, by one job that counts the key columns (aggregated before its
 shuffle). A key is large if its rows, or the result rows it makes (the product of its counts),
-are more than ``rows_per_task``. Without large keys the plan is that of the plain joins. Cells are
+are more than ``rows_per_task``. Up to ``MAX_HOT_KEYS`` of them, the largest, are sent to all tasks; rows of
+further large keys meet their cells in a shuffle first, which none of these keys can unbalance. Without large keys the plan is that of the plain joins. Cells are
 chosen so that one makes at most about ``rows_per_task`` result rows: tables with few rows of the key
 are not cut, the others into cells of equal numbers of rows.
 """
@@ -24,6 +25,7 @@ from pyspark.sql import types as T
 
 from tabularium.operators.clean import drop_missing
 from tabularium.operators.names import as_list, cols
+from tabularium.session import scratch_path
 
 ROWS_PER_TASK = 1_000_000
 MAX_HOT_KEYS = 20_000
@@ -85,19 +87,27 @@ def hot_keys(
 
 
 def _found_keys(frames: Sequence[DataFrame], keys: list[str], rows_per_task: int, first_nulls: bool) -> tuple:
-    """The large keys as a local table of bounded size, and its schema.
+    """The cells of the large keys: a local table of fewer than ``MAX_HOT_KEYS`` rows, and a staged one of all others.
 
-    With more than ``MAX_HOT_KEYS`` of them the bound is raised to that share of all rows they make: keys
-    below it are too small a part of the whole to hold up the join, and fewer than that lie above.
+    The local one has the largest keys, those that make more than that share of all rows of large keys. No
+    key of the other table is more than that, so its rows may meet their cells in a shuffle by key. The
+    other table is None while there are few large keys.
     """
     counts = _key_counts(frames, keys, first_nulls)
     large = F.col("__made") > rows_per_task
     seen = counts.agg(F.count_if(large).alias("keys"), F.sum(F.when(large, F.col("__made"))).alias("rows")).first()
     if not seen["keys"]:
         return None, None
-    bound = rows_per_task if seen["keys"] <= MAX_HOT_KEYS else max(rows_per_task, seen["rows"] / MAX_HOT_KEYS)
-    cells = _with_cells(counts, keys, len(frames), bound)
-    return cells.toArrow(), cells.schema
+    spark = counts.sparkSession
+    if seen["keys"] <= MAX_HOT_KEYS:
+        cells = _with_cells(counts, keys, len(frames), rows_per_task)
+        return spark.createDataFrame(cells.toArrow(), cells.schema), None
+    path = scratch_path(spark, "large-keys")
+    counts.where(large).write.parquet(path)
+    counts = spark.read.schema(counts.schema).parquet(path)
+    largest = F.col("__made") > max(rows_per_task, seen["rows"] / MAX_HOT_KEYS)
+    cells = _with_cells(counts.where(largest), keys, len(frames), rows_per_task)
+    return spark.createDataFrame(cells.toArrow(), cells.schema), _with_cells(counts.where(~largest), keys, len(frames), rows_per_task)
 
 
 def _hashable(df: DataFrame, keys: Sequence[str]) -> list[str]:
@@ -112,13 +122,27 @@ def _own_cell(df: DataFrame, keys: Sequence[str], spread: Iterable[str] | None)
     return F.xxhash64(F.spark_partition_id(), *cols(names))
 
 
+def _with_splits(df: DataFrame, keys: Sequence[str], hot: DataFrame, others: DataFrame | None) -> DataFrame:
+    """The rows with the cells of their key, null for keys that are not large."""
+    if others is None:
+        return df.join(F.broadcast(hot), keys, "left")
+    names = [c for c in hot.columns if c not in keys]
+    no_key = reduce(lambda a, b: a | b, [k.isNull() for k in cols(keys)])
+    # Rows of the largest keys, and those without a key, stay out of the shuffle.
+    first = df.join(F.broadcast(hot), keys)
+    rest = drop_missing(df, keys).join(F.broadcast(hot.select(*cols(keys))), keys, "left_anti").join(others, keys, "left")
+    loose = df.where(no_key).withColumns({c: F.lit(None).cast("bigint") for c in names})
+    return first.unionByName(rest).unionByName(loose)
+
+
 def _place(
-    df: DataFrame, i: int, n: int, keys: Sequence[str], hot: DataFrame, spread: Iterable[str] | None, outer: bool
-) -> DataFrame:
+    df: DataFrame, i: int, n: int, keys: Sequence[str], hot: DataFrame, spread: Iterable[str] | None, outer: bool,
+    others_hot: DataFrame | None = None,
+) -> DataFrame:
     splits = [F.coalesce(F.col(_split(j)), F.lit(1).cast("bigint")) for j in range(n)]
     stride = reduce(lambda a, b: a * b, splits[:i], F.lit(1).cast("bigint"))
     others = reduce(lambda a, b: a * b, splits[i + 1 :], stride)
-    own = _own_cell(df, keys, spread)
+    own = F.col("__hash")
     kept = [_split(j) for j in range(1, n)] if outer and i == 0 else []
 
     salt = F.when(splits[i] > 1, F.pmod(own, splits[i])).otherwise(F.lit(0).cast("bigint"))
@@ -127,7 +151,8 @@ def _place(
         no_key = reduce(lambda a, b: a | b, [k.isNull() for k in cols(keys)])
         salt = F.when(no_key, own).otherwise(salt)
 
-    placed = df.join(F.broadcast(hot), keys, "left").withColumns(
+    hashed = df.withColumn("__hash", _own_cell(df, keys, spread))
+    placed = _with_splits(hashed, keys, hot, others_hot).withColumns(
         {"__own": salt, "__stride": stride, "__width": splits[i], "__others": others}
         | {name: F.coalesce(F.col(name), F.lit(1).cast("bigint")) for name in kept}
     )
@@ -165,18 +190,17 @@ def balanced_join(
         raise ValueError(f"{how} joins two frames")
     keys = as_list(key)
     outer = how in ("left", "left_anti")
-    found = None
+    hot = others = None
     if rows_per_task is not None:
-        found, schema = _found_keys(frames, keys, rows_per_task, outer)
-    if found is None or found.num_rows == 0:
+        hot, others = _found_keys(frames, keys, rows_per_task, outer)
+    if hot is None:
         return reduce(lambda left, right: left.join(right, keys, how), frames)
 
     n = len(frames)
     names = list(spread) if spread is not None else [None] * n
-    # A literal table: every side of the join sees the same large keys, whatever is run again.
-    hot = frames[0].sparkSession.createDataFrame(found, schema)
+    # Literal and staged tables: every side of the join sees the same large keys, whatever is run again.
     frames = [df if outer and i == 0 else drop_missing(df, keys) for i, df in enumerate(frames)]
-    placed = [_place(df, i, n, keys, hot, names[i], outer) for i, df in enumerate(frames)]
+    placed = [_place(df, i, n, keys, hot, names[i], outer, others) for i, df in enumerate(frames)]
     # Adaptive execution merges partitions that are small on input, whatever they fan out to; it leaves a given number alone.
     tasks = int(hot.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = [df.repartition(tasks, *cols([*keys, _CELL])) for df in placed]

@@ -89,14 +89,40 @@ def test_the_product_of_two_middling_sides_is_spread(spark):
 
 def test_very_many_hot_keys_change_no_rows(skewed, monkeypatch):
     monkeypatch.setattr(balanced, "MAX_HOT_KEYS", 2)
-    found, _ = balanced._found_keys(skewed, ["k"], 2, False)
-    assert found.num_rows <= 2
+    found, others = balanced._found_keys(skewed, ["k"], 2, False)
+    assert found.count() <= 2 and others.count() > 20
     got = op.balanced_join(skewed, "k", rows_per_task=2)
     want = op.balanced_join(skewed, "k", rows_per_task=None)
     assert got.count() == want.count()
     assert got.agg(F.sum(F.hash("k", "a", "b", "c"))).first() == want.agg(F.sum(F.hash("k", "a", "b", "c"))).first()
 
 
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_joins_with_a_shuffled_table_of_large_keys(skewed, monkeypatch, how):
+    monkeypatch.setattr(balanced, "MAX_HOT_KEYS", 3)
+    frames = skewed if "_" not in how else (skewed[0], skewed[1])
+    got, want = (op.balanced_join(frames, "k", how, rows_per_task=n) for n in (4, None))
+    assert got.columns == want.columns
+    counted = lambda df: Counter({tuple(r)[:-1]: r["count"] for r in df.groupBy(*df.columns).count().collect()})
+    assert counted(got) == counted(want)
+
+
+def test_no_task_gets_more_than_its_share_however_many_keys_are_large(spark, monkeypatch):
+    monkeypatch.setattr(balanced, "MAX_HOT_KEYS", 10)
+    rows = spark.range(200_000, numPartitions=16)
+    # A thousand keys that make 10,000 rows each, and one with a fifth of the left rows.
+    left = rows.select(F.when(F.col("id") % 5 == 0, -1).otherwise(F.col("id") % 1000).alias("k"), F.col("id").alias("a"))
+    right = spark.range(50_000, numPartitions=8).select((F.col("id") % 1000).alias("k"), F.col("id").alias("b"))
+    right = right.unionByName(spark.range(40).select(F.lit(-1).alias("k"), F.col("id").alias("b")))
+    hot, others = balanced._found_keys([left, right], ["k"], 1000, False)
+    assert hot.count() == 1 and others.count() >= 800
+    sides = [_place(df, i, 2, ["k"], hot, None, False, others).groupBy("k", _CELL).count() for i, df in enumerate((left, right))]
+    made = sides[0].join(sides[1].withColumnRenamed("count", "other"), ["k", _CELL]).select((F.col("count") * F.col("other")).alias("n"))
+    top, total = made.agg(F.max("n"), F.sum("n")).first()
+    assert top <= 2000
+    assert total == left.join(right, "k").count()
+
+
 def test_rows_of_a_hot_key_are_spread_even_if_they_are_copies(spark):
     copies = spark.range(8000, numPartitions=40).select(F.lit(1).alias("k"), F.lit("same").alias("a"))
     hot = op.hot_keys([copies, copies], "k", rows_per_task=1000)
