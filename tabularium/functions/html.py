@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from dataclasses import dataclass
-from html.entities import name2codepoint
+from html.entities import html5, name2codepoint
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -48,14 +49,23 @@ SEARCH_PAGE = PageLayout(
     phone_element="span",
 )
 
-_MARKUP = r"(?s)<!--.*?-->|<script\b.*?</script>|<style\b.*?</style>|<[^>]*>"
+# One token of a page. What a parser does not show (comments to their end or that of the page, declarations,
+# scripts and styles) comes first; a tag, with quoted values whole, is group 1.
+_REST = r"""(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+'|))*+>"""
+_TAG = rf"<[/a-zA-Z]{_REST}"
+_TOKEN = (
+    r"(?is)<!--(?:-?>|.*?(?:--!?>|\z))|<[!?][^>]*+(?:>|\z)"
+    rf"|<(?:script|style)\b{_REST}.*?(?:</(?:script|style)\b[^>]*+>|\z)|({_TAG})"
+)
+_MARKUP = rf"(?is){_TAG}|<[!?/a-zA-Z][^>]*+>"
 _ENTITY = r"\A(#0*[0-9]{1,7}|#[xX]0*[0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
 _ALL = 1 << 30
 
-# The names that pages are full of come first: a map is searched from its start.
+# The names that pages are full of come first, then those of HTML 4: a map is searched from its start.
 _FREQUENT = ["amp", "quot", "lt", "gt", "nbsp", "apos"]
-_POINTS = {**name2codepoint, "apos": ord("'")}
-_NAMES = [*_FREQUENT, *sorted(set(_POINTS) - set(_FREQUENT))]
+_CHARS = {name[:-1]: text for name, text in html5.items() if name.endswith(";")}
+_NAMES = [*_FREQUENT, *sorted(set(name2codepoint) - set(_FREQUENT)), *sorted(set(_CHARS) - set(name2codepoint) - set(_FREQUENT))]
+_NAMED = json.dumps({name: _CHARS[name] for name in _NAMES})
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -73,7 +83,7 @@ def _code_point(name: Column) -> Column:
 
 def _unescape(text: Column) -> Column:
     # `text` is used several times here: pass a column or a lambda's variable, no expression.
-    names = F.create_map(*[F.lit(x) for name in _NAMES for x in (name, chr(_POINTS[name]))])
+    names = F.from_json(F.lit(_NAMED), "map<string,string>")
 
     def decode(piece: Column) -> Column:
         name, rest = piece["name"], piece["rest"]
@@ -93,6 +103,15 @@ def _blank_to_null(text: Column) -> Column:
     return F.nullif(text, F.lit(""))
 
 
+def live_markup(html: Column) -> Column:
+    """A page without what a parser does not show: comments, declarations, scripts and styles.
+
+    The page is read token by token, so a comment ends only where it is closed, whatever tags it holds, and one
+    that stands in a quoted attribute value is no comment.
+    """
+    return F.regexp_replace(html, _TOKEN, "$1")
+
+
 def _markup_removed(text: Column) -> Column:
     return F.regexp_replace(text, _MARKUP, "")
 
@@ -104,7 +123,7 @@ def unescape_entities(col: Column) -> Column:
 
 def strip_tags(col: Column) -> Column:
     """Text of a piece of markup: tags, comments, scripts and styles go, entities are decoded."""
-    return _let(_markup_removed(col), _unescape)
+    return _let(_markup_removed(live_markup(col)), _unescape)
 
 
 def _until_closed(markup: Column, element: str | None) -> Column:
@@ -124,8 +143,8 @@ def _until_closed(markup: Column, element: str | None) -> Column:
 
 
 def extract_links(html: Column, pattern: str = LINK) -> Column:
-    """All link targets in page order."""
-    return F.transform(F.regexp_extract_all(html, F.lit(pattern), 1), _unescape)
+    """All link targets in page order; those in comments and scripts are none."""
+    return F.transform(F.regexp_extract_all(live_markup(html), F.lit(pattern), 1), _unescape)
 
 
 def extract_results(html: Column, layout: PageLayout, drop_last: bool = True) -> Column:
@@ -133,9 +152,10 @@ def extract_results(html: Column, layout: PageLayout, drop_last: bool = True) ->
 
     Link and text are taken from the same block, so they stay together when a block lacks one
     of them (that part is null). ``drop_last`` leaves out the page's last block, which on the
-    search page is no result.
+    search page is no result. Comments, scripts and styles are no part of the page.
     """
-    region = html if layout.region is None else F.regexp_extract(html, layout.region, 1)
+    live = live_markup(html)
+    region = live if layout.region is None else F.regexp_extract(live, layout.region, 1)
     blocks = F.regexp_extract_all(region, F.lit(layout.block), 1)
     if drop_last:
         blocks = _let(blocks, lambda b: F.slice(b, 1, F.greatest(F.size(b) - 1, F.lit(0))))
@@ -162,5 +182,5 @@ def extract_phone(
     html: Column, pattern: str = PageLayout.phone, default: str = NO_PHONE, element: str | None = None
 ) -> Column:
     """First phone of the page, or ``default``. ``element`` is what ``pattern`` has opened, as in :class:`PageLayout`."""
-    phone = strip_tags(_until_closed(F.regexp_extract(html, pattern, 1), element))
+    phone = strip_tags(_until_closed(F.regexp_extract(live_markup(html), pattern, 1), element))
     return F.coalesce(_let(phone, _blank_to_null), F.lit(default))

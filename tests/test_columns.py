@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tabularium import functions as fn
+from tabularium.functions.html import live_markup
 
 D = dt.date
 
@@ -36,6 +37,41 @@ def test_text_and_phone_through_nested_elements(values):
     assert values([html], "h string", phone) == ["(41) 3333"]
 
 
+def test_a_page_is_read_as_a_parser_sees_it(values):
+    text = '<div class="VwiC3b yXK7lf MUxGbd yDYNvb lyLwlc lEBKkf">one <!-- </div> --> two<script>"</div>"</script> three</div>no'
+    inside = '<!-- <a href="dead">x</a> <div class="MjjYud"> --><script>var a = "<a href=\'dead2\'>";</script>'
+    side = '<!-- <div id="rhs"><span class="LrzXr zdqRlf kno-fv">1</span> --><div id="rhs"><span class="LrzXr zdqRlf kno-fv">(4<!--</span>-->1) 3</span></div>'
+    html = f'<div id="rso"><div class="MjjYud">{inside}<a href="l">t</a>{text}</div><div class="MjjYud"></div></div>{side}'
+    found = values([html], "h string", fn.extract_results(F.col("h"), fn.SEARCH_PAGE))
+    assert [tuple(r) for r in found[0]] == [(0, "l", "one  two three")]
+    assert values([html], "h string", fn.extract_links(F.col("h"))) == [["l"]]
+    layout = fn.SEARCH_PAGE
+    assert values([html], "h string", fn.extract_phone(F.col("h"), layout.phone, element=layout.phone_element)) == ["(41) 3"]
+
+
+def test_tokens_of_a_page(values):
+    rows = {
+        "a<!-->b<!--->c<!-- x --!>d<!-- -- > -->e": "abcde",
+        "a<!-- open <b>": "a",
+        "<!DOCTYPE html><?x y?>a<![CDATA[b]]>c": "ac",
+        '<p title="<!-- no -->">a</p>': '<p title="<!-- no -->">a</p>',
+        "<p don't>a</p><p isn't>b</p>": "<p don't>a</p><p isn't>b</p>",
+        "a < b <3 c": "a < b <3 c",
+        "<style>p > a {}</style><script src='a>b'>x</script >y": "y",
+        "<script>open <b>x</b>": "",
+        None: None,
+        "": "",
+    }
+    assert values(list(rows), "t string", live_markup(F.col("t"))) == list(rows.values())
+    huge = f'<img src="data:{"x" * 2_000_000}">' + "<b " + " ".join(f'a{i}="<!--"' for i in range(3000)) + ">z</b>" + "<!--" + "y>" * 500_000 + "-->"
+    assert values([huge], "t string", F.length(live_markup(F.col("t")))) == [huge.index("<!--y")]
+
+
+def test_names_of_html_5(values):
+    rows = ["&check;&NotEqualTilde;&hellip;", "&CounterClockwiseContourIntegral;&nosuchname;"]
+    assert values(rows, "t string", fn.unescape_entities(F.col("t"))) == ["\u2713\u2242\u0338\u2026", "\u2233&nosuchname;"]
+
+
 def test_padded_and_named_references(values):
     rows = ["&apos;", "&#00000233;", "&#x00000E9;", "&#233;", "&#99999999;", "&#0;"]
     assert values(rows, "t string", fn.unescape_entities(F.col("t"))) == ["'", "é", "é", "é", "&#99999999;", "&#0;"]
