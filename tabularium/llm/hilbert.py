@@ -22,26 +22,47 @@ _ACCURACY = 10_000
 _ROW = (1 << 33) - 1
 
 
-def as_number(df: DataFrame, name: str) -> Column:
-    """A number in the order of the column: numbers as they are, other values by the first seven bytes of their text."""
-    kind = df.schema[name].dataType
-    if isinstance(kind, T.NumericType):
-        return F.col(name).cast("double")
-    head = F.rpad(F.hex(F.substring(F.col(name).cast("string").cast("binary"), 1, 7)), 14, "0")
-    return F.conv(head, 16, 10).cast("double")
+def value_edges(df: DataFrame, name: str, parts: int) -> list:
+    """The values at the ``1 / parts, 2 / parts, ...`` quantiles of all rows with one, in the order of the values.
+
+    Values are counted and sorted in ranges; a number per range and at most ``parts`` values reach the driver.
+    """
+    values = df.where(F.col(name).isNotNull()).groupBy(F.col(name).alias("v")).agg(F.count("*").alias("n"))
+    ordered = values.repartitionByRange("v").sortWithinPartitions("v").withColumn("part", F.spark_partition_id())
+    ordered = stage(ordered, "values")
+    before, total = {}, 0
+    for part, n in sorted(ordered.groupBy("part").agg(F.sum("n")).collect()):
+        before[part], total = total, total + n
+    if not total:
+        return []
+    first = F.element_at(F.create_map(*[F.lit(x).cast("long") for item in before.items() for x in item]), F.col("part").cast("long"))
+    sums = ordered.withColumn("upto", first + F.sum("n").over(Window.partitionBy("part").orderBy("v")))
+    place = F.expr(f"(upto * {parts}L) div {total}L")
+    crossed = sums.withColumn("to", place).withColumn("from", F.expr(f"((upto - n) * {parts}L) div {total}L"))
+    edges = []
+    for v, begin, end in sorted(crossed.where("`to` > `from`").select("v", "from", "to").collect(), key=lambda r: r[1]):
+        edges += [v] * (min(end, parts - 1) - begin)
+    return edges
 
 
 def quantise(df: DataFrame, dimensions: Sequence[str], bits: int = BITS) -> list[Column]:
-    """The cell of each dimension, 0 to ``2 ** bits - 1``, with edges at the quantiles of all rows. Nulls are in cell 0."""
+    """The cell of each dimension, 0 to ``2 ** bits - 1``, with edges at the quantiles of all rows. Nulls are in cell 0.
+
+    Numbers are cut at approximate quantiles of their values; all other types by the rank of the whole value as text.
+    """
     shares = [i / (1 << bits) for i in range(1, 1 << bits)]
-    numbers = [as_number(df, d) for d in dimensions]
-    edges = df.agg(*[F.percentile_approx(n, shares, _ACCURACY).alias(f"e{i}") for i, n in enumerate(numbers)]).first()
+    number = {d: isinstance(df.schema[d].dataType, T.NumericType) for d in dimensions}
+    aggregates = [F.percentile_approx(F.col(d).cast("double"), shares, _ACCURACY).alias(f"e{i}") for i, d in enumerate(dimensions) if number[d]]
+    numeric = df.agg(*aggregates).first() if aggregates else {}
 
-    def cell(number: Column, cuts: list[float] | None) -> Column:
-        known = F.array(*[F.lit(c) for c in cuts or []]).cast("array<double>")
-        return F.when(number.isNull(), 0).otherwise(F.size(F.filter(known, lambda e: e < number)))
+    def cell(i: int, name: str) -> Column:
+        kind = "double" if number[name] else "string"
+        cuts = numeric[f"e{i}"] if number[name] else value_edges(df.select(F.col(name).cast("string").alias(name)), name, 1 << bits)
+        value = F.col(name).cast(kind)
+        known = F.array(*[F.lit(c) for c in cuts or []]).cast(f"array<{kind}>")
+        return F.when(value.isNull(), 0).otherwise(F.size(F.filter(known, lambda e: e < value)))
 
-    return [cell(n, edges[i]) for i, n in enumerate(numbers)]
+    return [cell(i, d) for i, d in enumerate(dimensions)]
 
 
 def with_curve_index(df: DataFrame, cells: Sequence[Column], bits: int = BITS, name: str = "curve") -> DataFrame:
@@ -86,12 +107,15 @@ def hilbert_order(df: DataFrame, dimensions: Sequence[str], ties: Sequence[str]
     are read. The rows are sorted in range partitions; only the number of rows of each
     partition is gathered. Keep ``df`` narrow: all its columns are sorted and written.
     """
+    df = stage(df, "narrow")
     cells = quantise(df, dimensions, bits)
     indexed = df.withColumns({f"__c{i}": c for i, c in enumerate(cells)})
     names = [f"__c{i}" for i in range(len(cells))]
     indexed = with_curve_index(indexed, [F.col(c) for c in names], bits).drop(*names)
     keys = ["curve", *ties, "__read"]
-    ordered = indexed.withColumn("__read", F.monotonically_increasing_id()).repartitionByRange(*keys).sortWithinPartitions(*keys)
+    # Written, so that drawing the ranges does not compute the curve a second time.
+    indexed = stage(indexed.withColumn("__read", F.monotonically_increasing_id()), "indexed")
+    ordered = indexed.repartitionByRange(*keys).sortWithinPartitions(*keys)
     ordered = ordered.drop("__read").withColumns({"__part": F.spark_partition_id(), "__at": F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW))})
     ordered = stage(ordered, "curve")
     sizes = ordered.groupBy("__part").agg(F.count("*").alias("__n"))  # a row for each task of the sort

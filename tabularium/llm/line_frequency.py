@@ -46,12 +46,18 @@ def _base(docs: DataFrame, text: str, id_col: str) -> DataFrame:
     ).otherwise(F.array().cast("array<bigint>"))
     hashed = counted.withColumn("s", windows)
 
-    def same(a: Column, b: Column) -> Column:
-        return a.bitwiseXOR(b) < F.col("span")
+    def same(x: Column, j: Column) -> Column:
+        # The low bits of a hash are lost to the position, so windows with equal bits are compared word by word.
+        other = F.get("s", j)
+        a, b = (v.bitwiseAND(F.col("span") - 1).cast("int") for v in (x, other))
+        equal = F.lit(True)
+        for k in range(3):
+            equal = equal & (F.get("w", a + k) == F.get("w", b + k))
+        return F.coalesce(x.bitwiseXOR(other).between(0, F.col("span") - 1) & equal, F.lit(False))
 
     def twin(x: Column, i: Column) -> Column:
-        low, high = F.get("s", i - 1), F.get("s", i + 1)
-        return ((i > 0) & (x.bitwiseXOR(low) >= 0) & same(x, low)) | ((i + 1 < F.size("s")) & (x.bitwiseXOR(high) >= 0) & same(x, high))
+        # Two places on either side: another window with the same bits may lie between twins.
+        return same(x, i + 1) | same(x, i - 1) | same(x, i + 2) | same(x, i - 2)
 
     repeated = F.sort_array(F.transform(F.filter("s", twin), lambda x: x.bitwiseAND(F.col("span") - 1)))
     found = hashed.withColumn("r", repeated)
@@ -68,32 +74,50 @@ def _normal_line(line: Column) -> Column:
 
 
 def lines_of(docs: DataFrame, text: str = "text", id_col: str = "doc_id", host: str = "source") -> DataFrame:
-    """``doc_id, host, lines``: hash and length of every normalised line that has a word.
+    """``doc_id, row, host, lines``: hash and length of every normalised line that has a word.
 
     Normalised: lower case, runs of digits as one 0, white space at the ends removed.
     """
     plain = F.regexp_replace(F.lower(F.coalesce(F.col(text), F.lit(""))), "[0-9]+", "0")
     trimmed = F.filter(F.transform(F.split(plain, "\n"), _normal_line), lambda x: x != "")
+    # Rows without an id are documents of their own.
+    own = F.when(F.col(id_col).isNull(), F.monotonically_increasing_id())
     return docs.select(
-        F.col(id_col).cast("long").alias("doc_id"), F.col(host).cast("string").alias("host"),
+        F.col(id_col).cast("long").alias("doc_id"), own.alias("row"), F.col(host).cast("string").alias("host"),
         F.transform(trimmed, lambda x: F.struct(F.xxhash64(x).alias("h"), F.length(x).alias("chars"))).alias("lines"),
     )
 
 
-def frequent_lines(lines: DataFrame, max_documents: int = MAX_DOCUMENTS) -> DataFrame:
-    """``host, h, documents`` of the lines in more than ``max_documents`` documents of a host. Null is a host like any other."""
+def _sized(df: DataFrame) -> DataFrame:
+    """A staged table of lines, to be broadcast if it is small by its counted rows."""
+    return F.broadcast(df) if df.count() * 64 <= MAX_BROADCAST_BYTES else df
+
+
+def _occurrences(lines: DataFrame, max_documents: int) -> DataFrame:
+    """``doc_id, row, host, h, chars`` of every line that is in more than ``max_documents`` rows of a host, once for each time."""
     once = lines.select("host", F.explode(F.array_distinct(F.transform("lines", lambda x: x["h"]))).alias("h"))
+    often = once.groupBy("host", "h").agg(F.count("*").alias("rows")).where(F.col("rows") > max_documents)
+    often = _sized(stage(often.select(F.col("host").alias("often_host"), F.col("h").alias("often_h")), "often"))
+    each = lines.select("doc_id", "row", "host", F.inline("lines"))
+    return stage(each.join(often, F.col("host").eqNullSafe(F.col("often_host")) & (F.col("h") == F.col("often_h")), "left_semi"), "occurrences")
+
+
+def frequent_lines(occurrences: DataFrame, max_documents: int = MAX_DOCUMENTS) -> DataFrame:
+    """``host, h, documents`` of the lines in more than ``max_documents`` documents of a host. Null is a host like any other.
+
+    Rows of one id are one document, each row without an id is one.
+    """
+    once = occurrences.select("host", "h", "doc_id", "row").distinct()
     return once.groupBy("host", "h").agg(F.count("*").alias("documents")).where(F.col("documents") > max_documents)
 
 
 def _removed(lines: DataFrame, max_documents: int) -> DataFrame:
     """``doc_id, own, chars`` of every occurrence of a frequent line."""
-    frequent = stage(frequent_lines(lines, max_documents).select("host", "h"), "frequent")
-    # The limit bounds them to one line in ``max_documents``; they are counted before they are sent anywhere.
-    if frequent.count() * 64 <= MAX_BROADCAST_BYTES:
-        frequent = F.broadcast(frequent)
-    each = lines.select("doc_id", F.col("host").alias("own_host"), F.inline("lines")).withColumnRenamed("h", "own")
-    return each.join(frequent, F.col("own_host").eqNullSafe(F.col("host")) & (F.col("own") == F.col("h")), "left_semi")
+    found = _occurrences(lines, max_documents)
+    frequent = frequent_lines(found, max_documents).select(F.col("host").alias("line_host"), F.col("h").alias("line_h"))
+    frequent = _sized(stage(frequent, "frequent"))
+    kept = found.join(frequent, F.col("host").eqNullSafe(F.col("line_host")) & (F.col("h") == F.col("line_h")), "left_semi")
+    return kept.select("doc_id", F.col("h").alias("own"), "chars")
 
 
 def judge(
@@ -107,8 +131,8 @@ def judge(
 ) -> DataFrame:
     """The counts of each row, ``base_failed``, ``removed_chars``, ``line_chars`` and ``kept``.
 
-    Null texts count as empty; with fewer than ``min_words`` words they fail. Every row is a document
-    when lines are counted; rows of one id (or none) share the verdict on their lines. An empty
+    Null texts count as empty; with fewer than ``min_words`` words they fail. Rows of one id are one document
+    when lines are counted, rows without an id are one each; both share the verdict on their lines. An empty
     table gives an empty result.
     """
     lines = lines_of(docs, text, id_col, host)

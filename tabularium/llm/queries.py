@@ -40,18 +40,19 @@ def op2_brown_class_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     r"""
     with words as (
-      select doc_id, [x for x in regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+') if x <> ''] w from documents),
+      select doc_id, regexp_extract_all(lower(text), '[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]\p{M}*|(?:[^\P{L}\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]|\p{N}|\p{M})+') w from documents),
     items as (
-      select item_id, [x for x in regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+') if x <> ''] w from benchmark),
+      select item_id, regexp_extract_all(lower(text), '[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]\p{M}*|(?:[^\P{L}\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]|\p{N}|\p{M})+') w from benchmark),
     d as (select doc_id, unnest(w) token, unnest(range(len(w))) pos from words),
-    i as (select item_id, len(w) n, unnest(w) token, unnest(range(len(w))) pos from items where len(w) >= 8),
+    i as (select item_id, len(w) n, unnest(w) token, unnest(range(len(w))) pos from items where len(w) >= 5),
     same as (select doc_id, item_id, n, d.pos - i.pos shift, i.pos from d join i using (token)),
     runs as (
       select doc_id, item_id, n, count(*) over (
         partition by doc_id, item_id, shift order by pos range between current row and 14 following) equal
       from same)
     select doc_id, item_id, cast(least(n, 15) as int) n_window, cast(max(equal) as int) n_equal
-    from runs group by doc_id, item_id, n having max(equal) >= ceil(least(n, 15) * 0.8 - 1e-9)
+    from runs group by doc_id, item_id, n
+    having max(equal) >= case when n < 8 then n else ceil(least(n, 15) * 0.8 - 1e-9) end
     """
 )
 def op3_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,7 +15,7 @@ from tabularium.llm import chat, decontamination, hilbert, line_frequency, url_r
 
 
 def test_masks_leave_no_allowed_pattern_unseen():
-    for width in range(decontamination.MIN_TOKENS, decontamination.WINDOW + 1):
+    for width in range(decontamination.EXACT_BELOW, decontamination.WINDOW + 1):
         allowed = width - math.ceil(width * decontamination.SIMILARITY - 1e-9)
         for gone in itertools.combinations(range(width), allowed):
             assert any(
@@ -43,6 +43,18 @@ def test_leaks_with_substitutions(spark, docs):
     assert decontamination.leaks(docs(rows).limit(0), bench).count() == decontamination.leaks(docs(rows), bench.limit(0)).count() == 0
 
 
+def test_short_items_and_scripts_without_spaces(spark, docs):
+    items = ["What is the capital of France", "法国的首都是哪里呢", "हिन्दी भाषा में पाँच शब्द", "only four words here", "ประเทศไทยอยู่ที่ไหน", "日本の首都はどこですか、東京です"]
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    rows = [
+        (0, "quiz: what is the capital of france? Paris"), (1, "what is the big capital of france"), (2, "请问法国的首都是哪里呢？巴黎"), (3, "法国的首都哪里"),
+        (4, "यह हिन्दी भाषा में पाँच शब्द है"), (5, "हिनदी भाषा में पाँच शब्द"), (6, "only four words here"), (7, "ข้อ ประเทศไทยอยู่ที่ไหน"), (8, "日本の首都はどこですか、京都です"),
+    ]
+    got = {(r["doc_id"], r["item_id"]): (r["n_window"], r["n_equal"]) for r in decontamination.leaks(docs(rows), benchmark).collect()}
+    assert set(got) == {(0, 0), (2, 1), (4, 2), (7, 4), (8, 5)}
+    assert got[0, 0] == (6, 6) and got[2, 1] == (9, 9) and got[4, 2] == (5, 5) and got[8, 5] == (15, 13)
+
+
 def test_leaks_without_broadcast(spark, docs, monkeypatch):
     item = " ".join(f"t{i}" for i in range(20))
     bench = spark.createDataFrame([(1, item)], "item_id long, text string")
@@ -106,6 +118,21 @@ def test_shards(spark, docs, tmp_path):
     assert ranges < 5  # of 8 sources
 
 
+def test_strings_are_ranked_whole(spark, docs):
+    names = [f"https://www.a-very-long-shared-prefix.org/host{i}" for i in range(8)]
+    table = docs([(i, "x" * 10, "en", names[i * 8 // 640]) for i in range(640)])
+    cells = hilbert.quantise(table, ["source"], 3)
+    found = {(r[0], r[1]) for r in table.select("source", cells[0]).collect()}
+    assert found == {(n, i) for i, n in enumerate(names)}
+    rows = hilbert.shard_documents(table, shards=8, dimensions=("source",)).groupBy("shard").agg(F.countDistinct("dim_source").alias("n")).collect()
+    assert {r["n"] for r in rows} == {1}
+    skewed = docs([(i, "x", "en", None if i % 10 == 0 else "hot" if i % 3 else f"s{i}") for i in range(300)])
+    edges = hilbert.value_edges(skewed.select("source"), "source", 4)
+    values = sorted(r[0] for r in skewed.where("source is not null").select("source").collect())
+    assert edges == [values[-(-len(values) * k // 4) - 1] for k in (1, 2, 3)]
+    assert hilbert.value_edges(skewed.limit(0).select("source"), "source", 4) == []
+
+
 # Line frequency
 
 
@@ -132,6 +159,21 @@ def test_lines_and_verdicts(docs):
     assert line_frequency.judge(table.limit(0)).count() == 0
 
 
+def test_copies_of_a_row_are_one_document(docs, monkeypatch):
+    text = "\n".join(" ".join(f"c{letters(j)}x{letters(i)}" for i in range(20)) for j in range(4))
+    for bound in (line_frequency.MAX_BROADCAST_BYTES, 0):
+        monkeypatch.setattr(line_frequency, "MAX_BROADCAST_BYTES", bound)
+        got = line_frequency.judge(docs([(7, text, "en", "a")] * 25)).collect()
+        assert len(got) == 25 and all(r["kept"] and r["removed_chars"] == 0 for r in got)
+        nobody = line_frequency.judge(docs([(None, text, "en", "a")] * 25)).collect()
+        assert len(nobody) == 25 and not any(r["kept"] for r in nobody)
+
+
+def test_repeated_words_of_a_long_text(docs):
+    words = [f"v{i * 7919 % 90_001}" for i in range(90_000)] + ["x", "y", "z"] * 2 + [f"v{i * 7919 % 90_001}" for i in range(50)]
+    assert line_frequency.judge(docs([" ".join(words)])).first()["n_repeat_words"] == 6 + 100
+
+
 def test_depleted_documents_go(docs):
     lines = [" ".join(f"b{letters(j)}x{letters(i)}" for i in range(20)) for j in range(4)]
     rows = [(i, "\n".join([*lines, f"own {letters(i)}"]), "en", "a") for i in range(21)] + [(50, "\n".join(lines), "en", "b")]
