@@ -43,7 +43,11 @@ _TOKEN = rf"[{_UNSPACED}]\p{{M}}*+|(?:[\p{{L}}&&[^{_UNSPACED}]]|[\p{{N}}\p{{M}}]
 
 def tokens(text: Column) -> Column:
     """Hashes of the tokens of a text; null gives none."""
-    words = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(_TOKEN), F.lit(0))
+    lower = F.lower(F.coalesce(text, F.lit("")))
+    # The same tokens; splitting is several times faster and enough where no character needs the pattern.
+    plain = F.filter(F.split(lower, r"[^\p{L}\p{N}]+"), lambda w: w != "")
+    rare = lower.rlike(r"[\x{300}-\x{10FFFF}]") & lower.rlike(rf"[{_UNSPACED}\p{{M}}]")
+    words = F.when(rare, F.regexp_extract_all(lower, F.lit(_TOKEN), F.lit(0))).otherwise(plain)
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
