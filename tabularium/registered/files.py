@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import uuid
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -109,7 +108,7 @@ _INVENTORY = [
 @registered(" union all ".join(f"select '{n}' \"table\", count(*) n_rows from {n}" for n in _INVENTORY))
 def file_inventory(t: StarSchema) -> DataFrame:
     """Rows per table, added up over its files."""
-    files = reduce(DataFrame.unionByName, [src.file_inventory(t.table(n)) for n in _INVENTORY])
+    files = src.parquet_inventory(t.spark, [f"{t.folder}/{n}.parquet" for n in _INVENTORY])
     name = F.regexp_extract("file", r"/([a-z]+)\.parquet(/|$)", 1)
     return files.where("bytes > 0").groupBy(name.alias("table")).agg(F.sum("n_rows").alias("n_rows"))
 
@@ -132,6 +131,20 @@ def partition_roundtrip(t: StarSchema) -> DataFrame:
     return op.row_counts(src.read_partition(t.spark, path, state="ASIA"), "city").toDF("city", "n")
 
 
+@registered("""
+select o_orderstatus, o_orderkey, o_custkey, o_totalprice from orders
+where o_custkey in (select o_custkey from orders group by 1 order by count(*) desc, 1 limit 12)
+""")
+def key_lookup(t: StarSchema) -> DataFrame:
+    """Write orders by status for look-ups by customer, then look up the twelve customers with the most orders."""
+    path = scratch_path(t.spark, "lookup")
+    orders = t.table("orders")
+    src.write_partitioned(orders, path, "o_orderstatus", lookup="o_custkey")
+    most = op.preview(op.row_counts(orders, "o_custkey"), 12, [F.desc("n_rows"), "o_custkey"])
+    found = src.read_keys(t.spark, path, "o_custkey", [r["o_custkey"] for r in most.collect()])
+    return found.select("o_orderstatus", "o_orderkey", "o_custkey", "o_totalprice")
+
+
 @registered("""
 select r_name state, n_name city, count(*) n, max(c_acctbal) highest
 from customer join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey

@@ -197,3 +197,22 @@ def preview_top(t: StarSchema) -> DataFrame:
 @registered("select lang, source, count(*) n_rows from documents group by all")
 def row_counts(t: StarSchema) -> DataFrame:
     return op.row_counts(t.table("documents"), ["lang", "source"])
+
+
+@registered("""
+with d as (select 1 part, o_orderstatus kind, o_custkey id from orders where o_orderpriority <> '1-URGENT'
+           union all select 2, o_orderstatus, o_custkey from orders where o_orderpriority < '3')
+select kind, count(*) n_rows, count(distinct id) n_exact, true "close" from d group by 1
+union all select 'all', count(*), count(distinct id), true from d
+""")
+def sketch_profile(t: StarSchema) -> DataFrame:
+    """Two overlapping deliveries are sketched apart and merged; are the estimates within 4 % of the exact counts?"""
+    orders = t.table("orders").select(F.col("o_orderstatus").alias("kind"), F.col("o_custkey").alias("id"), "o_orderpriority")
+    deliveries = [orders.where("o_orderpriority <> '1-URGENT'"), orders.where("o_orderpriority < '3'")]
+    sketched = [op.count_sketches(df, "kind", "id") for df in deliveries]
+    per_kind = op.merge_sketches(sketched, "kind")
+    whole = op.merge_sketches([per_kind]).select(F.lit("all").alias("kind"), "n_rows", "sketch")
+    exact = deliveries[0].unionByName(deliveries[1]).rollup("kind").agg(F.count_distinct("id").alias("n_exact"))
+    exact = exact.select(F.coalesce("kind", F.lit("all")).alias("kind"), "n_exact")
+    found = op.estimated_counts(per_kind.unionByName(whole)).join(F.broadcast(exact), "kind")
+    return found.select("kind", "n_rows", "n_exact", (F.abs(F.col("n_distinct") - F.col("n_exact")) <= F.col("n_exact") * 0.04).alias("close"))

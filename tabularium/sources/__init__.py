@@ -8,7 +8,7 @@ from tabularium.sources.delimited import (
     reject_counts,
     write_headed_csv,
 )
-from tabularium.sources.inventory import file_inventory, list_files
+from tabularium.sources.inventory import file_inventory, list_files, parquet_inventory
 from tabularium.sources import schemas
-from tabularium.sources.partitioned import read_partition, save_table, write_partitioned
+from tabularium.sources.partitioned import read_keys, read_partition, save_table, write_partitioned
 from tabularium.sources.snapshot import is_snapshot, publish, read_snapshot, remove_versions, versions

@@ -71,12 +71,13 @@ def publish(
     mode: str = REPLACE,
     rows_per_file: int = ROWS_PER_FILE,
     leaf_rows: DataFrame | None = None,
+    lookup: str | Iterable[str] = (),
 ) -> int:
     """Write ``df`` as the next version of the table at ``root`` and return its number.
 
     ``replace`` makes ``df`` the whole table; folders it has no rows for are gone. ``overwrite_partitions`` keeps
     the folders ``df`` has no rows for, ``append`` keeps all; kept folders are listed again, not copied.
-    The schema must stay that of the table unless it is replaced. One writer at a time. Old versions stay
+    ``lookup`` is as in ``write_partitioned``. The schema must stay that of the table unless it is replaced. One writer at a time. Old versions stay
     readable until :func:`remove_versions`.
     """
     if mode not in (REPLACE, OVERWRITE_PARTITIONS, APPEND):
@@ -88,7 +89,7 @@ def publish(
         raise ValueError(f"the table at {root} has another schema")
     version = known[-1] + 1 if known else 1
     data = f"{version}-{uuid.uuid4().hex}"
-    write_partitioned(df, f"{root}/data/{data}", names, "error", rows_per_file=rows_per_file, leaf_rows=leaf_rows)
+    write_partitioned(df, f"{root}/data/{data}", names, "error", rows_per_file=rows_per_file, leaf_rows=leaf_rows, lookup=lookup)
     listed = _folders(spark, root, data)
     if known and mode != REPLACE:
         kept = _rows(spark, root, known[-1]).where("folder is not null").select(listed.columns)

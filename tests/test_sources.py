@@ -182,6 +182,48 @@ def test_file_inventory(spark, tmp_path):
     assert src.list_files(spark, str(tmp_path)).count() == 2
 
 
+def test_parquet_inventory_reads_no_column(spark, tmp_path, plan):
+    spark.range(7).coalesce(1).write.parquet(str(tmp_path / "a"))
+    spark.createDataFrame([("x", 1), ("y", 1), ("z", 2)], "s string, p int").coalesce(1).write.partitionBy("p").parquet(str(tmp_path / "b"))
+    found = src.parquet_inventory(spark, [str(tmp_path / "a"), str(tmp_path / "b")])
+    assert sorted(r["n_rows"] for r in found.collect()) == [1, 2, 7]
+    assert "ReadSchema: struct<>" in plan(found)
+
+
+def rows_scanned(df):
+    """Rows that the scan hands on, after its own pruning."""
+    executed = df.select("*")._jdf.queryExecution().executedPlan()  # fresh metrics
+    executed.executeCollectPublic()
+    return executed.collectLeaves().head().metrics().apply("numOutputRows").value()
+
+
+def test_read_keys_reads_few_rows(spark, tmp_path):
+    people = spark.range(200_000).selectExpr("id % 2 as `the part`", "concat('k', xxhash64(id)) as `a key`", "id")
+    people = people.repartition(4, "id")
+    plain, sorted_ = str(tmp_path / "plain"), str(tmp_path / "sorted")
+    src.write_partitioned(people, plain, "the part")
+    src.write_partitioned(people, sorted_, "the part", lookup="a key")
+    keys = [r["a key"] for r in people.where("id in (5, 77777, 123456)").collect()]
+    few, all_ = (src.read_keys(spark, p, "a key", [*keys, None, keys[0]]) for p in (sorted_, plain))
+    assert sorted(r["id"] for r in few.collect()) == [5, 77777, 123456] == sorted(r["id"] for r in all_.collect())
+    assert rows_scanned(few) < 0.6 * rows_scanned(all_)
+    absent = src.read_keys(spark, sorted_, "a key", ["k5x"])
+    assert rows_scanned(absent) == 0 and rows_scanned(src.read_keys(spark, plain, "a key", ["k5x"])) > 0
+    assert rows_scanned(src.read_keys(spark, sorted_, "a key", keys[:1], **{"the part": 1})) <= rows_scanned(few)
+    assert src.read_keys(spark, sorted_, "a key", []).count() == 0
+    many = [r["a key"] for r in people.where("id < 35").collect()]
+    assert src.read_keys(spark, sorted_, "a key", many).count() == 35
+
+
+def test_published_tables_can_be_written_for_look_ups(spark, tmp_path):
+    rows = spark.range(50_000).selectExpr("id % 2 as p", "concat('k', xxhash64(id)) as k", "id")
+    root = str(tmp_path / "t")
+    src.publish(rows, root, "p", lookup=["k"])
+    key = rows.where("id = 4321").first()["k"]
+    found = src.read_snapshot(spark, root).where(F.col("k") == key)
+    assert [r["id"] for r in found.collect()] == [4321] and rows_scanned(found) < 25_000
+
+
 def test_sessions(spark):
     other = ses.new_session("other", {"spark.sql.shuffle.partitions": "77", "spark.driver.memory": "1g"})
     assert other is not spark and other.sparkContext is spark.sparkContext

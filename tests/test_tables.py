@@ -60,3 +60,21 @@ def test_profiles(spark):
 
 def test_preview_is_a_top_n(spark, plan):
     assert "TakeOrderedAndProject" in plan(op.preview(spark.range(100), 5, [F.col("id").desc()]))
+
+
+def test_sketches_merge_over_deliveries_and_groups(spark):
+    one = spark.range(30_000).selectExpr("id % 3 as g", "id as x")
+    two = spark.range(15_000, 60_000).selectExpr("id % 3 as g", "id as x")
+    parts = [op.count_sketches(df, "g", "x") for df in (one, two)]
+    per_group = op.merge_sketches(parts, "g")
+    found = {r["g"]: (r["n_rows"], r["n_distinct"]) for r in op.estimated_counts(per_group).collect()}
+    assert set(found) == {0, 1, 2} and all(n == 25_000 and abs(d - 20_000) < 800 for n, d in found.values())
+    whole = op.estimated_counts(op.merge_sketches([per_group])).first()
+    assert whole["n_rows"] == 75_000 and abs(whole["n_distinct"] - 60_000) < 2_400
+
+
+def test_sketches_of_few_null_or_no_ids(spark):
+    df = spark.createDataFrame([("a", "x"), ("a", "x"), ("a", None), ("b", None), (None, "y")], "g string, `i d` string")
+    got = rows(op.estimated_counts(op.count_sketches(df, "g", "i d")))
+    assert got == [("a", 3, 1), ("b", 1, 0), (None, 1, 1)]
+    assert rows(op.estimated_counts(op.merge_sketches([op.count_sketches(df.limit(0), "g", "i d")]))) == [(0, 0)]
