@@ -13,8 +13,8 @@ from tabularium.llm.common import stage
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents without a language: no text, or no letter in it."""
-    return langid.keep_known(docs, langid.fit(docs, where=langid.training()))
+    """Drop documents without a language (no text, or no letter in it); ``lang`` becomes the predicted one."""
+    return langid.keep_known(docs, langid.fit(docs, where=langid.training()), lang="lang")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

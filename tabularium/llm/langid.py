@@ -144,7 +144,10 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", where: Column |
 
 
 def identify(docs: DataFrame, profiles: Profiles, text: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """``doc_id, held_out, lang_pred, score`` of every row; the prediction sees nothing but the whole text."""
+    """``doc_id, held_out, lang_pred, score`` of every row; the prediction sees nothing but the whole text.
+
+    Repeated rows each get a row; an empty table gives an empty one.
+    """
     modulus, rest = HELD_OUT
 
     def run(batch: pa.RecordBatch) -> dict:
@@ -160,13 +163,21 @@ def training(id_col: str = "doc_id") -> Column:
     return remainder(id_col, HELD_OUT[0]) != HELD_OUT[1]
 
 
-def keep_known(docs: DataFrame, profiles: Profiles, text: str = "text") -> DataFrame:
-    """The rows whose text gets a language, with all their columns; ``und`` rows are dropped."""
+def keep_known(docs: DataFrame, profiles: Profiles, text: str = "text", lang: str | None = None) -> DataFrame:
+    """The rows whose text gets a language, with all their columns; ``und`` rows are dropped.
+
+    ``lang`` names a column of strings into which the predicted language is written, whatever it held. Null and
+    empty texts, and those without a letter, are dropped. Repeated rows get the same verdict; an empty table gives an empty one.
+    """
     at = docs.columns.index(text)
+    told = None if lang is None else docs.columns.index(lang)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches):
-            known = [profiles.predict(x.as_py())[0] != UNKNOWN for x in batch.column(at)]
-            yield batch.filter(pa.array(known, pa.bool_()))
+            found = [profiles.predict(x.as_py())[0] for x in batch.column(at)]
+            if told is not None:
+                field = batch.schema.field(told)
+                batch = batch.set_column(told, field, pa.array(found, field.type))
+            yield batch.filter(pa.array([name != UNKNOWN for name in found], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -43,6 +43,9 @@ SHARD_ROWS = 32_768
 #: Distinct fingerprints from which vantage points and medians are taken; all are indexed.
 SAMPLE = 16_384
 
+#: Ids of documents are broadcast up to this size, else shuffled.
+MAX_BROADCAST_BYTES = 32 << 20
+_ID_BYTES = 16
 _SEED = 42
 _BRUTE = 1 << 20
 _HASHES_AT_ONCE = 1 << 16
@@ -276,11 +279,20 @@ def keep_first(docs: DataFrame, classes: DataFrame) -> DataFrame:
 
     A document whose rows are repeated keeps one of them. Rows without an id cannot be told apart by
     it; they are left alone.
+
+    Only ids of documents that go or have several rows are joined, so texts stay where they are read while
+    these ids may be broadcast.
     """
-    verdict = classes.groupBy(F.col("doc_id").alias("__id")).agg(
+    verdict = classes.where("doc_id is not null").groupBy(F.col("doc_id").alias("__id")).agg(
         F.min("component_id").alias("__least"), F.count("*").alias("__rows")
-    ).where("__id = __least").select("__id", "__rows")
-    kept = docs.join(verdict, docs["doc_id"] == verdict["__id"])
-    once = kept.where("__rows = 1").select(*[docs[c] for c in docs.columns])
-    more = kept.where("__rows > 1").select(*[docs[c] for c in docs.columns]).dropDuplicates(["doc_id"])
-    return once.unionByName(more).unionByName(docs.where("doc_id is null"))
+    )
+    stays = F.col("__id") == F.col("__least")
+    settled = stage(verdict.where(~stays | (F.col("__rows") > 1)).select("__id", stays.alias("__stays")), "settled")
+    size = settled.agg(F.count("*").alias("ids"), F.count_if("__stays").alias("repeated")).first()
+    if size["ids"] * _ID_BYTES <= MAX_BROADCAST_BYTES:
+        settled = F.broadcast(settled)
+    kept = docs.join(settled, docs["doc_id"] == settled["__id"], "left_anti")
+    if not size["repeated"]:
+        return kept
+    repeated = docs.join(settled.where("__stays"), docs["doc_id"] == F.col("__id"), "left_semi")
+    return kept.unionByName(repeated.dropDuplicates(["doc_id"]))

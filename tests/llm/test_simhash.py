@@ -84,3 +84,14 @@ def test_query_against_brute_force(spark, small):
     want = {d: (f"{f:016x}", c) for (d, f), c in zip(rows, brute_components(rows), strict=True)}
     got = QUERIES["op4_simhash_vantage_trees"](spark, small).collect()
     assert {r["doc_id"]: (r["fingerprint"], r["component_id"]) for r in got} == want and len(got) == len(rows)
+
+
+@pytest.mark.parametrize("limit", [0, 1 << 20])
+def test_one_document_of_each_class_stays(docs, monkeypatch, limit):
+    monkeypatch.setattr(simhash, "MAX_BROADCAST_BYTES", limit)
+    same, other = " ".join(f"w{i}" for i in range(50)), " ".join(f"v{i}" for i in range(50))
+    table = docs([(7, same), (3, same), (3, same), (9, same), (4, other), (None, same), (5, None), (6, "")])
+    kept = simhash.keep_first(table, simhash.near_duplicates(table))
+    assert kept.columns == table.columns
+    assert sorted((str(r["doc_id"]), r["text"]) for r in kept.collect()) == sorted([("3", same), ("4", other), ("5", None), ("None", same)])
+    assert simhash.keep_first(table.limit(0), simhash.near_duplicates(table.limit(0))).count() == 0

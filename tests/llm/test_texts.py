@@ -43,6 +43,36 @@ def test_ngrams(monkeypatch, text, window):
     assert got == slow_ngrams(text)
 
 
+def slow_order(counts, top=langid.TOP):
+    """The most frequent n-grams; ties go by number, in which shorter n-grams stand behind."""
+    filled = lambda g: (langid._NONE,) * (3 - len(g)) + g
+    return sorted(counts, key=lambda g: (-counts[g], filled(g)))[:top]
+
+
+def slow_languages(rows, predicted):
+    """``(language, score)`` of each text in ``predicted``, learned from ``(text, lang)`` in ``rows``."""
+    total = {}
+    for text, lang in rows:
+        if text is not None and lang is not None:
+            total.setdefault(lang, Counter()).update(slow_ngrams(text))
+    profiles = {lang: {g: i for i, g in enumerate(slow_order(counts))} for lang, counts in sorted(total.items())}
+    out = []
+    for text in predicted:
+        own = slow_order(slow_ngrams(text or ""))
+        away = {n: sum(min(abs(p[g] - i), langid.TOP) if g in p else langid.TOP for i, g in enumerate(own)) for n, p in profiles.items()}
+        best = min(away, key=lambda n: (away[n], n)) if own and away else None
+        out.append(("und", 0.0) if best is None else (best, 1 - away[best] / (len(own) * langid.TOP)))
+    return out
+
+
+def test_predictions_by_brute_force(spark, small):
+    rows = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text", "lang").collect()
+    learned = [(r["text"], r["lang"]) for r in rows if zlib.crc32(str(r["doc_id"]).encode()) % 4 != 2]
+    want = dict(zip([r["doc_id"] for r in rows], slow_languages(learned, [r["text"] for r in rows]), strict=True))
+    for r in QUERIES["op1_rank_order_language"](spark, small).collect():
+        assert (r["lang_pred"], r["score"]) == (want[r["doc_id"]][0], pytest.approx(want[r["doc_id"]][1]))
+
+
 def test_languages_of_odd_texts(spark, docs):
     rows = [(i, t, lang, "s") for i, (t, lang) in enumerate([("the cat and the dog " * 3, "en"), ("der hund und die katze " * 3, "de")] * 8)]
     odd = [(100, None, None, "s"), (101, "", "en", "s"), (102, "12 -- 3", "de", "s"), (103, "und die katze", None, "s"), (None, "the dog", "en", "s"), (103, "und die katze", None, "s")]
