@@ -1,13 +1,14 @@
 """Personal data by weak supervision: labelers vote on spans, their reliabilities are estimated, a classifier decides.
 
-Four kinds of spans: email, ip, card, phone. Spans of the strict base patterns always count. Looser
-patterns propose further candidates (written-out addresses, cards in odd groups, numbers without a
-country code). Labelers vote yes, no or not at all on every span:
+Five kinds of spans: email, ip, card, phone and secret (keys and tokens). Spans of the strict base patterns of
+the first four always count. Looser patterns propose further candidates: written-out addresses, cards in odd
+groups or with a wrong checksum, numbers without a country code, long mixed tokens. Labelers vote yes, no or
+not at all on every span:
 
 * regex: yes if the shape fits a strict form of the kind;
-* gazetteer: known domain endings, card number ranges, phone words and reserved address ranges;
+* gazetteer: domain endings, number ranges of card issuers, calling codes, reserved address ranges, prefixes of keys;
 * context: words to the left that announce the kind, or speak against it;
-* checks: checksum, ranges, lengths.
+* checks: checksum, ranges, lengths, variety of characters.
 
 Spark counts how often each pattern of votes and features occurs, over all texts; there are at most
 a few thousand patterns, whatever the data. Expectation-maximisation on those counts estimates how
@@ -35,7 +36,9 @@ from pyspark.sql import functions as F
 from tabularium.llm.common import map_batches, text_slices
 
 KINDS = ("email", "ip", "card", "phone")
-EMAIL, IP, CARD, PHONE = range(4)
+#: The base kinds, and the one that only the method finds.
+ALL_KINDS = (*KINDS, "secret")
+EMAIL, IP, CARD, PHONE, SECRET = range(5)
 LABELERS = ("regex", "gazetteer", "context", "checks")
 #: A candidate is kept from this likelihood on.
 THRESHOLD = 0.8
@@ -118,6 +121,9 @@ _ODD_CARD = re.compile(r"(?<![0-9A-Za-z.+])[0-9]{4}(?:([./_])[0-9]{4}\1[0-9]{4}\
 _NATIONAL = re.compile(r"(?<![0-9A-Za-z.+,/-])(?:\([0-9]{2,5}\) ?|0[0-9]{1,4}[ /-])[0-9]{3,5}(?:[ -][0-9]{2,5}){0,3}(?![0-9A-Za-z])")
 _TEXT_ADDRESS = re.compile(r"(?<![0-9.])[0-9]{1,3}(?: ?\[\.\] ?[0-9]{1,3}){3}(?![0-9.])")
 _MARK = re.compile(r"[\[({]at[\])}]", re.I)
+_GROUPED = re.compile(r"(?<![0-9A-Za-z.+,/_-])[0-9]{3}([ .-])[0-9]{3}\1[0-9]{4}(?![0-9A-Za-z.,/_-])")
+_LONG_TOKEN = re.compile(r"(?<![A-Za-z0-9_+/=.-])[A-Za-z0-9_+/-]{20,}={0,2}(?![A-Za-z0-9_+/=@-])")
+_LETTER = re.compile(r"[A-Za-z]")
 
 # Words that announce a kind (or speak against it) in the four languages of the tables and English forms.
 _ANNOUNCE = (
@@ -125,11 +131,37 @@ _ANNOUNCE = (
     frozenset("ip host server address adresse dirección addr".split()),
     frozenset("card visa mastercard credit karte kreditkarte carte tarjeta".split()),
     frozenset("tel phone call mobile fax telefon telefono teléfono téléphone handy portable móvil".split()),
+    frozenset("token key secret password passwd pwd apikey api_key api-key bearer auth credential credentials passwort schlüssel contraseña clave".split()),
 )
-_AGAINST = frozenset("version v release token key hash sha id isbn page seite chapter figure order invoice".split())
-# Frequent endings of domains.
-_ENDINGS = frozenset("com org net edu gov info io de fr es uk at ch eu us biz".split())
+_NO_NUMBER = frozenset("version v release token key hash sha id isbn page seite chapter figure order invoice".split())
+_AGAINST = (*[_NO_NUMBER] * 4, frozenset("sha sha1 sha256 md5 hash digest checksum commit revision rev etag uuid id file path url".split()))
+# Generic endings of domains (two letters are a country's), and reserved ones.
+_ENDINGS = frozenset(
+    "com org net edu gov mil int info biz name pro mobi app dev cloud online site store shop tech blog news email media live agency group museum travel jobs cat asia aero coop".split()
+)
+_NO_ENDINGS = frozenset("test example invalid localhost local internal lan home corp".split())
 _NO_HOST = ("0.", "127.", "255.")
+# First digits of card numbers by issuer (from, to) and the lengths of its numbers.
+_ISSUERS = (
+    (4, 4, (13, 16, 19)), (51, 55, (16,)), (2221, 2720, (16,)), (34, 34, (15,)), (37, 37, (15,)), (300, 305, (14, 16)), (36, 36, (14,)), (38, 39, (14, 16)),
+    (6011, 6011, (16, 19)), (644, 649, (16, 19)), (65, 65, (16, 19)), (3528, 3589, (16, 19)), (62, 62, (16, 17, 18, 19)), (50, 50, (12, 13, 14, 15, 16, 17, 18, 19)),
+    (56, 58, (12, 13, 14, 15, 16, 17, 18, 19)), (2200, 2204, (16, 17, 18, 19)),
+)
+# Calling codes of one and two digits, and the first two digits of those of three.
+_CALLING = frozenset("1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split())
+_CALLING_3 = frozenset("21 22 23 24 25 26 29 35 37 38 42 50 59 67 68 69 80 85 87 88 96 97 99".split())
+# How keys of public services begin.
+_KEY_STARTS = ("AKIA", "ASIA", "AIza", "ghp_", "gho_", "ghs_", "github_pat_", "glpat-", "sk-", "sk_live_", "sk_test_", "pk_live_", "rk_live_", "xoxb-", "xoxp-", "eyJ", "npm_", "pypi-", "SG.", "ya29")
+_UUID = re.compile(r"[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}", re.I)
+
+
+def _issued(digits: str) -> bool:
+    """Whether an issuer has numbers of this beginning and length."""
+    return any(len(digits) in lengths and low <= int(digits[: len(str(low))]) <= high for low, high, lengths in _ISSUERS)
+
+
+def _called(digits: str) -> bool:
+    return digits[:1] in _CALLING or digits[:2] in _CALLING or digits[:2] in _CALLING_3
 
 
 def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
@@ -140,7 +172,13 @@ def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, i
     if _DIGIT.search(text):
         found += [(m.start(), IP, m.end()) for m in _TEXT_ADDRESS.finditer(text)] if "[.]" in text else []
         found += [(m.start(), CARD, m.end()) for m in _ODD_CARD.finditer(text)]
-        found += [(m.start(), PHONE, m.end()) for m in _NATIONAL.finditer(text)]
+        found += [(m.start(), PHONE, m.end()) for pattern in (_NATIONAL, _GROUPED) for m in pattern.finditer(text)]
+        # Runs of a card's length whose checksum fails.
+        for m in _DIGITS.finditer(text):
+            if m.end() - m.start() >= 13 and 13 <= len(digits := _only_digits(m.group())) <= 19 and not luhn(digits):
+                if not (m.start() and text[m.start() - 1].isalnum() or m.end() < len(text) and text[m.end()].isalnum()):
+                    found.append((m.start(), CARD, m.end()))
+        found += [(m.start(), SECRET, m.end()) for m in _LONG_TOKEN.finditer(text) if _DIGIT.search(m.group()) and _LETTER.search(m.group())]
     if not found:
         return []
     starts, kept = [a for a, _, _ in base], []
@@ -159,6 +197,7 @@ _STRICT = (
     re.compile(r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}"),
     re.compile(r"[0-9]{13,19}|[0-9]{4}(?:([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{4})"),
     re.compile(r"\+[0-9]{1,3}[ .-]?\(?[0-9]{1,5}\)?(?:[ .-]?[0-9]{2,5}){1,4}"),
+    re.compile(r"[0-9a-f]{32,}|[0-9A-F]{32,}|(?=[^a-z]*[a-z])(?=[^A-Z]*[A-Z])[A-Za-z0-9+/_-]{24,}={0,2}"),
 )
 _WORD = re.compile(r"[^\W\d_][\w-]*", re.U)
 
@@ -170,17 +209,25 @@ def votes(text: str, span: tuple[int, int, int]) -> tuple[int, ...]:
     digits = _only_digits(value)
     shape = 1 if _STRICT[kind].fullmatch(value) else 0
     words = _WORD.findall(left)[-3:]
-    context = 1 if any(w in _ANNOUNCE[kind] for w in words) else -1 if any(w in _AGAINST for w in words) else 0
+    context = 1 if any(w in _ANNOUNCE[kind] for w in words) else -1 if any(w in _AGAINST[kind] for w in words) else 0
     if end < len(text) and text[end].isalnum() or start and text[start - 1].isalnum():
         context = -1
     if kind == EMAIL:
         ending = re.split(r"[^A-Za-z]+", value.lower().rstrip("-."))[-1]
-        return shape, 1 if ending in _ENDINGS else 0, context, 1 if 6 <= len(value) <= 254 else -1
+        known = 1 if ending in _ENDINGS or len(ending) == 2 else -1 if ending in _NO_ENDINGS else 0
+        return shape, known, context, 1 if 6 <= len(value) <= 254 else -1
     if kind == IP:
         return shape, -1 if value.startswith(_NO_HOST) else 1, context, 1 if all(_octet(p) for p in _PART.findall(value)) else -1
     if kind == CARD:
-        return shape, 1 if value[0] in "3456" else -1, context, 1 if luhn(digits) else -1
-    return shape, 1 if value[0] == "+" or value[:2] in ("00", "(0") else 0, context, 1 if 9 <= len(digits) <= 15 and len(set(digits)) > 2 else -1
+        return shape, 1 if _issued(digits) else -1, context, 1 if luhn(digits) else -1
+    if kind == SECRET:
+        parts = re.split(r"[/_+-]", value)
+        plain = len(parts) > 2 and all(p.isdigit() or p.islower() and p.isalpha() for p in parts if p)
+        known = 1 if value.startswith(_KEY_STARTS) else -1 if plain or _UUID.fullmatch(value) else 0
+        kinds, given = len(set(value.lower())), text[max(0, start - 2) : start].rstrip(" ")[-1:] in ("=", ":", '"', "'", "`")
+        return shape, known, context, -1 if kinds < 9 else 1 if given else 0
+    known = _called(digits) if value[0] == "+" else value[:2] in ("00", "(0")
+    return shape, 1 if known else -1 if value[0] == "+" else 0, context, 1 if 9 <= len(digits) <= 15 and len(set(digits)) > 2 else -1
 
 
 def _features(text: str, span: tuple[int, int, int]) -> tuple[int, ...]:
@@ -222,9 +269,9 @@ def estimate(patterns: dict[tuple, int], rounds: int = 50) -> Model:
     A kind without spans keeps the starting reliabilities: labelers are right three times in four.
     """
     labelers, width = len(LABELERS), 1 + 2 * len(LABELERS) + 4
-    reliability = np.tile(_START, (len(KINDS), labelers, 1, 1))
-    weights = np.zeros((len(KINDS), width))
-    for kind in range(len(KINDS)):
+    reliability = np.tile(_START, (len(ALL_KINDS), labelers, 1, 1))
+    weights = np.zeros((len(ALL_KINDS), width))
+    for kind in range(len(ALL_KINDS)):
         own = sorted((p, n) for p, n in patterns.items() if p[0] == kind)
         theta = np.tile(_START, (labelers, 1, 1))
         v = np.array([p[1] for p, _ in own], int).reshape(-1, labelers)
@@ -297,14 +344,15 @@ def all_spans(text: str, model: Model, threshold: float = THRESHOLD) -> tuple[li
 
 
 def _joined(spans: list[tuple[int, int, int]]) -> str:
-    return ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in spans)
+    return ",".join(f"{ALL_KINDS[k]}:{a}:{b}" for a, k, b in spans)
 
 
 def find(docs: DataFrame, model: Model, text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """Counts of base spans, the digest of their list, and the list of all spans, for every row.
 
     A null or empty text has no spans: counts of 0, the digest of the empty string, an empty list.
-    Spans count code points, the end is exclusive; they are sorted by start, then kind.
+    Spans count code points, the end is exclusive; they are sorted by start, then kind (``ALL_KINDS``). Repeated
+    rows each get a row; an empty table gives an empty one.
     """
 
     def run(batch: pa.RecordBatch) -> dict:
@@ -327,7 +375,7 @@ def masked(text: str, spans: list[tuple[int, int, int]]) -> str:
     out, at = [], 0
     for a, k, b in spans:
         if a >= at:
-            out += [text[at:a], f"[{KINDS[k].upper()}]"]
+            out += [text[at:a], f"[{ALL_KINDS[k].upper()}]"]
         at = max(at, b)
     return "".join([*out, text[at:]])
 

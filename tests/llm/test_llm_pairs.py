@@ -107,7 +107,7 @@ def slow_pipeline(documents, benchmark):
                 marks[-1] = (marks[-1][0], max(marks[-1][1], b), marks[-1][2])
             end = max(end, b)
         for a, b, kind in reversed(marks):
-            t = f"{t[:a]}[{pii.KINDS[kind].upper()}]{t[b:]}"
+            t = f"{t[:a]}[{pii.ALL_KINDS[kind].upper()}]{t[b:]}"
         out.append((i, t))
     return out
 
