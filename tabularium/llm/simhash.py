@@ -14,8 +14,9 @@ partitioning the fingerprints by Hamming distance from vantage points:
 * The leaves are the shards of the search. Inside a shard the same partitioning goes on in memory
   down to small blocks, which are compared in full on all 64 bits. A shard returns a spanning
   forest of its links, never all pairs.
-* Shards that grow past ``shard_rows`` (tight groups cannot be parted by distance) are cut into
-  cells: homes are dealt out over the cells, queries go to each of them.
+* Shards that grow past their bounds (tight groups cannot be parted by distance, and the sample ends
+  the trees at some depth) are cut into a grid of cells: homes are dealt out over its rows, queries over its
+  columns, so each pair meets in one cell and no cell holds more than a stated number of either.
 
 The components of the links then run over distinct fingerprints only.
 """
@@ -29,7 +30,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabularium.llm.common import join_sized, map_batches, stage
@@ -38,8 +39,11 @@ from tabularium.llm.components import components
 SHINGLE = 4
 MAX_DISTANCE = 4
 BLOCKS = 3
-#: Homes of a shard. Memory of a task is a few times this many fingerprints.
+#: Homes of a shard, on which the depth of the trees rests.
 SHARD_ROWS = 32_768
+#: A cell of the grid of a shard has about this many times ``shard_rows`` homes and queries at most: 131,072 and 524,288.
+CELL_HOMES = 4
+CELL_QUERIES = 16
 #: Distinct fingerprints from which vantage points and medians are taken; all are indexed.
 SAMPLE = 16_384
 
@@ -163,11 +167,11 @@ def _unite(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
         np.minimum.at(parent, np.maximum(ra, rb), np.minimum(ra, rb))
 
 
-def spanning_links(points: np.ndarray, home: np.ndarray, mask: int, reach: int, limit: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links of a spanning forest of the graph of all (home, point) pairs at ``limit`` or fewer differing bits."""
+def spanning_links(points: np.ndarray, home: np.ndarray, query: np.ndarray, mask: int, reach: int, limit: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links of a spanning forest of the graph of all (home, query) pairs at ``limit`` or fewer differing bits."""
     parent = np.arange(points.size)
     block, random = np.uint64(mask), np.random.default_rng(7)
-    todo = [(np.flatnonzero(home), np.arange(points.size))]
+    todo = [(np.flatnonzero(home), np.flatnonzero(query))]
     while todo:
         homes, queries = todo.pop()
         if homes.size * queries.size > _BRUTE:
@@ -196,6 +200,31 @@ def spanning_links(points: np.ndarray, home: np.ndarray, mask: int, reach: int,
 # The search over all fingerprints ------------------------------------------------------------------
 
 
+def deal(routed: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
+    """``shard, row, column, fp, home, query``: the rows of each shard over a grid of cells.
+
+    Every home meets every row of its shard, as a query, in exactly one cell. Cells have about
+    ``CELL_HOMES * shard_rows`` homes and ``CELL_QUERIES * shard_rows`` queries at most.
+    """
+    # Two numbers per shard: as many rows as there are shards, n / shard_rows for each block.
+    cut = [F.greatest(F.lit(1), F.ceil(F.col(c) / F.lit(k * shard_rows))).cast("int").alias(c) for c, k in (("homes", CELL_HOMES), ("queries", CELL_QUERIES))]
+    sizes = routed.groupBy("shard").agg(F.count_if("home").alias("homes"), F.count("*").alias("queries"))
+    rows = routed.join(sizes.select("shard", *cut), "shard").withColumns({
+        "own_row": F.pmod(F.xxhash64("fp"), F.col("homes")).cast("int"), "own_column": F.pmod(F.xxhash64("fp", F.lit(1)), F.col("queries")).cast("int"),
+    })
+
+    def cell(row: Column, column: Column, home: Column, query: Column) -> Column:
+        return F.struct(row.alias("row"), column.alias("column"), home.alias("home"), query.alias("query"))
+
+    # As a query in all cells of its column, as a home in the other cells of its row.
+    asks = F.transform(
+        F.sequence(F.lit(0), F.col("homes") - 1), lambda i: cell(i, F.col("own_column"), F.col("home") & (F.col("own_row") == i), F.lit(True))
+    )
+    others = F.filter(F.sequence(F.lit(0), F.col("queries") - 1), lambda j: F.col("home") & (j != F.col("own_column")))
+    lives = F.transform(others, lambda j: cell(F.col("own_row"), j, F.lit(True), F.lit(False)))
+    return rows.select("shard", "fp", F.inline(F.concat(asks, lives)))
+
+
 def links(
     distinct: DataFrame,
     max_distance: int = MAX_DISTANCE,
@@ -226,22 +255,14 @@ def links(
                     })
 
     routed = stage(distinct.select("fp").mapInArrow(send, "shard long, fp long, home boolean"), "shards")
-    # One number per shard: as many rows as there are shards, n / shard_rows for each block.
-    cells = (
-        routed.groupBy("shard").agg(F.count_if("home").alias("homes"))
-        .select("shard", F.greatest(F.lit(1), F.ceil(F.col("homes") / F.lit(4 * shard_rows))).cast("int").alias("cells"))
-    )
-    dealt = routed.join(cells, "shard").select(
-        "shard", "fp", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)).alias("cell"),
-        F.expr("home").alias("lives"), F.pmod(F.xxhash64("fp"), F.col("cells")).alias("own"),
-    ).select("shard", "cell", "fp", (F.col("lives") & (F.col("own") == F.col("cell"))).alias("home"))
+    dealt = deal(routed, shard_rows)
 
     def search(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         points = frame["fp"].to_numpy(np.int64).view(np.uint64)
-        a, b = spanning_links(points, frame["home"].to_numpy(bool), masks[int(key[0]) // width], reach, max_distance)
+        a, b = spanning_links(points, frame["home"].to_numpy(bool), frame["query"].to_numpy(bool), masks[int(key[0]) // width], reach, max_distance)
         return pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})
 
-    return dealt.groupBy("shard", "cell").applyInPandas(search, "a long, b long")
+    return dealt.groupBy("shard", "row", "column").applyInPandas(search, "a long, b long")
 
 
 def near_duplicates(

@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+from collections import Counter
+from itertools import product
+
 import numpy as np
 import pytest
 import xxhash
@@ -52,8 +55,10 @@ def test_defined_cases(docs):
     assert simhash.near_duplicates(table.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("shard_rows", [16, 100_000])
-def test_all_links_are_found(spark, shard_rows):
+@pytest.mark.parametrize(("shard_rows", "cell_homes", "cell_queries"), [(16, 4, 16), (16, 1, 1), (100_000, 4, 16)])
+def test_all_links_are_found(spark, monkeypatch, shard_rows, cell_homes, cell_queries):
+    monkeypatch.setattr(simhash, "CELL_HOMES", cell_homes)
+    monkeypatch.setattr(simhash, "CELL_QUERIES", cell_queries)
     rng = np.random.default_rng(5)
     base = rng.integers(0, 1 << 63, 300, dtype=np.uint64)
     rows = list(base)
@@ -71,6 +76,29 @@ def test_all_links_are_found(spark, shard_rows):
     assert [label.get(x, x) for x in signed] == want
 
 
+def test_the_grid_of_a_shard_brings_each_pair_together_once(spark):
+    """Rows of a cell stay within about the bounds, whether a shard has too many homes or too many queries."""
+    shards = [(0, i * 7919, i % 3 == 0) for i in range(3000)] + [(1, i, True) for i in range(5)] + [(2, i * 104729, i < 10) for i in range(4000)]
+    table = spark.createDataFrame(shards, "shard long, fp long, home boolean")
+    cells = {}
+    for r in simhash.deal(table, 50).collect():
+        homes, queries = cells.setdefault((r["shard"], r["row"], r["column"]), ([], []))
+        homes += [r["fp"]] if r["home"] else []
+        queries += [r["fp"]] if r["query"] else []
+    assert max(len(h) for h, _ in cells.values()) < 2 * simhash.CELL_HOMES * 50
+    assert max(len(q) for _, q in cells.values()) < 2 * simhash.CELL_QUERIES * 50
+    for shard in range(3):
+        met = Counter(pair for key, (h, q) in cells.items() if key[0] == shard for pair in product(h, q))
+        mine = [(fp, home) for s, fp, home in shards if s == shard]
+        assert set(met.values()) == {1} and len(met) == sum(home for _, home in mine) * len(mine)
+
+
+def test_a_tight_ball_is_linked_through_the_grid(spark):
+    ball = sorted(1 << a | 1 << b | 1 << c for a in range(12) for b in range(20, 32) for c in range(40, 52))
+    found = components(simhash.links(spark.createDataFrame([(x,) for x in ball], "fp long"), shard_rows=50, sample=2), "a", "b")
+    assert {r["node"]: r["root"] for r in found.collect()} == dict.fromkeys(ball, ball[0])
+
+
 def test_components_of_a_long_path_and_odd_links(spark):
     path = [(i, i + 1) for i in range(200)] + [(500, 500), (None, 3), (7, None), (301, 300), (300, 301), (301, 302)]
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(path, "x long, y long"), "x", "y").collect()}
