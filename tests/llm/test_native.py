@@ -254,3 +254,24 @@ def test_a_long_conversation_comes_in_segments(spark):
     table = spark.range(1000).select(F.lit(1).alias("conv_id"), F.col("id").alias("turn"), F.lit("user").alias("role"), F.col("id").cast("string").alias("text"))
     rows = chat.format_conversations(table, 100).collect()
     assert sorted((r["segment"], r["n_turns"]) for r in rows) == [(i, 100) for i in range(10)]
+
+
+def test_turns_without_numbers_or_with_sparse_or_equal_ones(spark):
+    """Places, lengths and prefixes of conversations whose turns say little, cut in small blocks, against plain Python."""
+    rows = [(1, None, "user", f"t{i % 40:03}") for i in range(90)] + [(2, 7, "user", f"t{i:03}") for i in range(40)]
+    rows += [(3, 10_000_000_000 * i - 5, "assistant", f"t{i:03}") for i in range(60)] + [(4, i, "user", None) for i in range(30)] + [(5, i, "user", "x" * 300 + str(i % 5)) for i in range(9)]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(7)
+    got = chat.turns(table, 4).collect()
+    want = {}
+    for row in sorted(set(rows), key=lambda r: (r[0], r[1] is not None, r[1] or 0, r[2], r[3] is not None, r[3] or "")):
+        want.setdefault(row[0], []).append(row[1:])
+    for conv, turns in want.items():
+        mine = sorted((r for r in got if r["conv_id"] == conv), key=lambda r: r["place"])
+        assert [(r["turn"], r["role"], r["text"]) for r in mine] == turns
+        assert [r["place"] for r in mine] == list(range(len(turns))) and {r["n"] for r in mine} == {len(turns)}
+    prefixes = {}
+    for r in got:
+        told = tuple((role, text) for _, role, text in want[r["conv_id"]][: r["place"] + 1])
+        prefixes.setdefault((r["place"], r["a"], r["b"]), set()).add(told)
+    assert all(len(told) == 1 for told in prefixes.values())
+    assert len(prefixes) == len(set().union(*prefixes.values())) and len(got) == sum(map(len, want.values()))
